@@ -1,0 +1,40 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from tidemart.session import build_session, release_written  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session(
+        "tests",
+        "local[8]",
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "8g",
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    release_written(session)
+    session.stop()
+
+
+@pytest.fixture
+def plan_of(spark):
+    """The physical plan of a frame as text."""
+
+    def text(df) -> str:
+        return df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+
+    return text

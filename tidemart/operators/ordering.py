@@ -91,8 +91,9 @@ def place_in_order(df: DataFrame, order: Sequence[SortKey | str], label: str) ->
         .drop("_at")
     )
     written = write_shared(sorted_rows, label)
-    counts = written.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("n")).orderBy(CHUNK).collect()
-    return Placed(written, [(r[CHUNK], r["n"]) for r in counts])
+    # One row per shuffle partition.
+    counts = written.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("n")).collect()
+    return Placed(written, sorted((r[CHUNK], r["n"]) for r in counts))
 
 
 def global_row_number(

@@ -270,33 +270,25 @@ def vendor_quality(spark, root):
 # --- retail -------------------------------------------------------------------
 
 
-def _land_orders(spark, root) -> list[str]:
-    """Export the order log as two generations of daily CSV folders."""
-    log = adapters.order_log(spark, root).withColumn(DAY, F.to_date("date_time"))
-    old = log.filter(F.col(DAY) < F.lit(STATUS_SINCE)).drop("status")
-    new = log.filter(F.col(DAY) >= F.lit(STATUS_SINCE)).select(
-        F.col("id").alias("Unnamed: 0"), "*"
-    )
-    return [
-        write_csv_days(old, fresh_path(spark, "landing-old")),
-        write_csv_days(new, fresh_path(spark, "landing-new")),
-    ]
-
-
-def _land_orders_flat(spark, root) -> list[str]:
-    """The same two generations, one folder each."""
+def _two_generations(spark, root) -> tuple[DataFrame, DataFrame]:
+    """The order log as files looked before and after the status column came."""
     log = adapters.order_log(spark, root)
     is_old = F.to_date("date_time") < F.lit(STATUS_SINCE)
     new = log.filter(~is_old).select(F.col("id").alias("Unnamed: 0"), "*")
-    return [
-        write_csv(log.filter(is_old).drop("status"), fresh_path(spark, "landing-old")),
-        write_csv(new, fresh_path(spark, "landing-new")),
-    ]
+    return log.filter(is_old).drop("status"), new
+
+
+def _land_orders(spark, root) -> str:
+    """Export the order log as a feed of daily CSV folders."""
+    feed = fresh_path(spark, "landing")
+    for name, rows in zip(("plain", "with-status"), _two_generations(spark, root)):
+        write_csv_days(rows.withColumn(DAY, F.to_date("date_time")), f"{feed}/{name}", "id")
+    return feed
 
 
 def _cleaned(spark, root, dedupe: bool) -> DataFrame:
-    frames = [read_csv(spark, [path]) for path in _land_orders_flat(spark, root)]
-    cleaned = [clean_log(f, dedupe=dedupe) for f in frames]
+    files = [write_csv(g, fresh_path(spark, "landing")) for g in _two_generations(spark, root)]
+    cleaned = [clean_log(read_csv(spark, [f]), dedupe=dedupe) for f in files]
     return schemas.conform(union_generations(cleaned), schemas.USER_ORDER_LOG)
 
 
@@ -313,11 +305,11 @@ def clean_order_log_deduped(spark, root):
 @query
 def daily_increment(spark, root):
     """All landed days through the file stream, then the catch-up days once more."""
-    roots = _land_orders(spark, root)
+    feed = _land_orders(spark, root)
     staging = fresh_path(spark, "staging")
     target = schemas.USER_ORDER_LOG
-    ingest_arrivals(spark, roots, staging, target, fresh_path(spark, "ingest-state"))
-    ingest_days(spark, roots, staging, target, catch_up_days(TODAY))
+    ingest_arrivals(spark, feed, staging, target, fresh_path(spark, "ingest-state"))
+    ingest_days(spark, feed, staging, target, catch_up_days(TODAY))
     return read_staged(spark, staging, target)
 
 

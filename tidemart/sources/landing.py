@@ -27,6 +27,16 @@ def day_folder(root: str, day: dt.date | str) -> str:
     return f"{root}/{DAY}={day}"
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly inside ``path``, in one file-system call."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory())
+
+
 def read_csv(spark: SparkSession, paths: Sequence[str], base: str | None = None) -> DataFrame:
     """Files of one generation (same header) as strings, selected by name.
 
@@ -35,7 +45,7 @@ def read_csv(spark: SparkSession, paths: Sequence[str], base: str | None = None)
     rather than shifting values. ``base`` adds the ``dt`` folder as a column.
     """
     header = spark.read.options(**_CSV).csv(paths[0]).columns
-    schema = StructType([StructField(c, StringType()) for c in header if c != DAY])
+    schema = StructType([StructField(c, StringType()) for c in header])
     reader = spark.read.options(**_CSV, enforceSchema="false").schema(schema)
     if base is None:
         return reader.csv(list(paths))
@@ -44,17 +54,23 @@ def read_csv(spark: SparkSession, paths: Sequence[str], base: str | None = None)
 
 
 def read_generations(
-    spark: SparkSession, roots: Iterable[str], days: Sequence[str] | None = None
+    spark: SparkSession, feed: str, days: Iterable[str] | None = None
 ) -> list[DataFrame]:
-    """One frame per generation root, limited to ``days`` where given.
+    """One frame per file generation of a feed, limited to ``days`` where given.
 
-    Each root holds ``dt=YYYY-MM-DD`` folders of a single header. The frames are
-    kept apart because their columns differ; clean them, then union by name.
+    A feed folder holds one folder per generation, each with ``dt=YYYY-MM-DD``
+    folders of a single header. Only the wanted days' folders are opened. The
+    frames are kept apart because their columns differ; clean them, then union
+    by name.
     """
+    wanted = None if days is None else set(days)
     frames = []
-    for root in roots:
-        frame = read_csv(spark, [root], base=root)
-        frames.append(frame if days is None else frame.filter(F.col(DAY).isin(list(days))))
+    for generation in subfolders(spark, feed):
+        root = f"{feed}/{generation}"
+        present = [n.removeprefix(f"{DAY}=") for n in subfolders(spark, root)]
+        held = [d for d in present if wanted is None or d in wanted]
+        if held:
+            frames.append(read_csv(spark, [day_folder(root, d) for d in held], base=root))
     return frames
 
 
@@ -63,10 +79,15 @@ def union_generations(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def write_csv_days(df: DataFrame, root: str, day: str = DAY) -> str:
-    """Write one CSV folder per day. A heavy day is split over several files."""
-    placed = df.hint("rebalance", day)
-    placed.write.mode("overwrite").options(**_CSV).partitionBy(day).csv(root)
+def write_csv_days(df: DataFrame, root: str, spread: str) -> str:
+    """Write one CSV folder per day.
+
+    Rows are range-partitioned by day and ``spread``, so a heavy day becomes
+    several files of ordinary size and light days share a task.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(tasks, DAY, spread)
+    placed.write.mode("overwrite").options(**_CSV).partitionBy(DAY).csv(root)
     return root
 
 
@@ -75,16 +96,18 @@ def write_csv(df: DataFrame, root: str) -> str:
     return root
 
 
-def stage_days(df: DataFrame, path: str) -> None:
+def stage_days(df: DataFrame, path: str, by_day: bool = True) -> None:
     """Replace the staged days that ``df`` contains and leave every other day alone.
 
     Loading a day again gives the same table, where an append would repeat it.
-    Rebalancing keeps one day's rows together in few files but splits a day too
+    Rows read from daily folders (``by_day``) already lie together and are
+    written where they were read, without a shuffle. Rows in any other order are
+    rebalanced first, which gathers a day into few files and splits a day too
     heavy for one task.
     """
+    rows = df if by_day else df.hint("rebalance", DAY)
     (
-        df.hint("rebalance", DAY)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
         .parquet(path)

@@ -26,24 +26,33 @@ def catch_up_days(today: dt.date, back: int = 8) -> list[str]:
 
 def ingest_days(
     spark: SparkSession,
-    roots: Sequence[str],
+    feed: str,
     staging: str,
     schema: StructType,
     days: Sequence[str] | None = None,
     clean: Clean = clean_log,
-) -> None:
+) -> bool:
     """Clean the landing files of ``days`` (all if None) and replace those days in staging.
 
-    ``roots`` are the generation roots of one feed. Days are complete when they
-    are replaced: every root contributes its files.
+    Days are complete when they are replaced: every generation contributes its
+    files. Returns whether there was anything to load.
     """
-    cleaned = [conform(clean(f), schema, DAY) for f in read_generations(spark, roots, days)]
-    stage_days(union_generations(cleaned), staging)
+    frames = read_generations(spark, feed, days)
+    if frames:
+        cleaned = [conform(clean(f), schema, DAY) for f in frames]
+        stage_days(union_generations(cleaned), staging)
+    return bool(frames)
+
+
+def ingest_bulk(log: DataFrame, staging: str, schema: StructType, ts: str = "date_time") -> None:
+    """Stage a cleaned history export that is not split by day."""
+    rows = conform(log, schema, F.to_date(F.col(ts)).cast("string").alias(DAY))
+    stage_days(rows, staging, by_day=False)
 
 
 def ingest_arrivals(
     spark: SparkSession,
-    roots: Sequence[str],
+    feed: str,
     staging: str,
     schema: StructType,
     checkpoint: str,
@@ -61,15 +70,14 @@ def ingest_arrivals(
         rows = batch.select(F.regexp_extract("path", rf"{DAY}=([0-9-]+)", 1).alias(DAY)).distinct()
         days = [r[DAY] for r in rows.collect() if r[DAY]]
         if days:
-            ingest_days(batch.sparkSession, roots, staging, schema, days, clean)
-
-    for number, root in enumerate(roots):
-        arrivals = spark.readStream.format("binaryFile").schema(_FILE).load(f"{root}/*")
-        query = (
-            arrivals.select("path")
-            .writeStream.foreachBatch(stage_touched)
-            .option("checkpointLocation", f"{checkpoint}/{number}")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
+            ingest_days(batch.sparkSession, feed, staging, schema, days, clean)
+
+    arrivals = spark.readStream.format("binaryFile").schema(_FILE).load(f"{feed}/*/*")
+    query = (
+        arrivals.select("path")
+        .writeStream.foreachBatch(stage_touched)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
