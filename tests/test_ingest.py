@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemart import schemas
 from tidemart.operators.cleaning import clean_log
+from tidemart.plans.daily_load import load_day, load_days, rebuild_retention
 from tidemart.session import fresh_path, release_written, shared_folder
 from tidemart.sources.landing import file_prefix, read_csv, read_staged
 from tidemart.sources.tables import save_mart
@@ -137,9 +138,39 @@ def test_shared_folder_and_release(spark):
 
 def test_mart_rebuild_overwrites(spark, tmp_path):
     path = str(tmp_path / "mart")
-    save_mart(spark.range(5), path)
-    save_mart(spark.range(2), path)
-    assert spark.read.parquet(path).count() == 2
+    target = schemas.schema_of("id integer")
+    save_mart(spark.range(5), path, target)
+    save_mart(spark.range(2).withColumn("other", F.lit(1)), path, target)
+    table = spark.read.parquet(path)
+    assert table.dtypes == [("id", "int")] and table.count() == 2
+
+
+def test_daily_load_end_to_end(spark, feed, tmp_path):
+    home = str(tmp_path / "warehouse")
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    calendar = spark.createDataFrame([(20240101, days[0])], "date_id int, date_actual date")
+
+    def load():
+        for day in days:
+            load_day(spark, str(feed), home, calendar, day)
+        rebuild_retention(spark, home)
+
+    def tables():
+        names = ("d_city", "d_item", "d_customer", "f_sales", "f_customer_retention")
+        return {n: sorted(map(str, spark.read.parquet(f"{home}/mart/{n}").collect())) for n in names}
+
+    load()
+    first = tables()
+    assert {n: len(rows) for n, rows in first.items()} == {
+        "d_city": 1, "d_item": 1, "d_customer": 1, "f_sales": 4, "f_customer_retention": 2,
+    }
+    load()
+    assert tables() == first
+    land(feed, "plain", "2024-01-01", [row("2024-01-01", "1.00").replace(",3,ring", ",4,bolt")], "late.csv")
+    load_days(spark, str(feed), home, calendar, ["2024-01-01"])
+    later = tables()
+    assert len(later["f_sales"]) == 5 and len(later["d_item"]) == 2
+    assert later["d_city"] == first["d_city"]
 
 
 def test_staged_day_filter_prunes_folders(spark, feed, tmp_path, plan_of):

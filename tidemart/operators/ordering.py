@@ -8,15 +8,16 @@ travel to the driver.
 
 from __future__ import annotations
 
+import bisect
 import itertools
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.session import write_shared
+from tidemart.session import in_parallel, write_shared
 
 CHUNK, PLACE = "_chunk", "_place"
 
@@ -64,12 +65,12 @@ class Placed:
         starts = itertools.accumulate((n for _, n in self.counts), initial=0)
         return [(chunk, start) for (chunk, _), start in zip(self.counts, starts)]
 
-    def locate(self, position: int) -> tuple[int, int]:
-        """Chunk and place of the row at a 0-based position."""
-        chunk, start = next(
-            (c, s) for c, s in reversed(self.offsets()) if s <= position
-        )
-        return chunk, position - start
+    def locate(self, positions: Sequence[int]) -> list[tuple[int, int]]:
+        """Chunk and place of the rows at the given 0-based positions."""
+        offsets = self.offsets()
+        starts = [start for _, start in offsets]
+        found = (offsets[bisect.bisect_right(starts, p) - 1] + (p,) for p in positions)
+        return [(chunk, p - start) for chunk, start, p in found]
 
 
 def place_in_order(df: DataFrame, order: Sequence[SortKey | str], label: str) -> Placed:
@@ -118,22 +119,37 @@ def ntile_starts(total: int, tiles: int) -> list[int]:
     return [s for s in starts if s < total]
 
 
-def ntile(df: DataFrame, order: Sequence[SortKey | str], tiles: int, out: str) -> DataFrame:
-    """Split the whole frame into ``tiles`` equal parts along ``order``.
-
-    Same numbers as the window function, without its single task: the frame's
-    sort columns are placed in order, the first row of each tile is looked up
-    (``tiles - 1`` rows), and every row is then scored by comparing it with
-    those rows. ``df`` itself is neither shuffled nor sorted for the result, so
-    several scores can be added to it one after another. ``order`` must be total
-    and ``df`` must give the same rows each time it is read.
+def ntiles(
+    df: DataFrame, orders: Mapping[str, Sequence[SortKey | str]], tiles: int
+) -> DataFrame:
+    """Split the whole frame into ``tiles`` equal parts along each of several orders.
+
+    Same numbers as the window function, without its single task: the columns of
+    an order are placed in sort order, the first row of each tile is looked up
+    (``tiles - 1`` rows), and every row is then scored by comparing it with those
+    rows. ``df`` itself is neither shuffled nor sorted nor joined for the result.
+    The orders are independent and are placed at the same time. Each must be
+    total, and ``df`` must give the same rows each time it is read.
     """
+    scores = in_parallel(
+        *[lambda out=out, order=order: _tile(df, order, tiles, out) for out, order in orders.items()]
+    )
+    return df.select("*", *[score.alias(out) for out, score in zip(orders, scores)])
+
+
+def ntile(df: DataFrame, order: Sequence[SortKey | str], tiles: int, out: str) -> DataFrame:
+    """``ntiles`` along a single order."""
+    return df.withColumn(out, _tile(df, order, tiles, out))
+
+
+def _tile(df: DataFrame, order: Sequence[SortKey | str], tiles: int, label: str) -> Column:
+    """The tile number as an expression over the columns of ``order``."""
     keys = as_keys(order)
     names = [k.name for k in keys]
-    placed = place_in_order(df.select(*names), keys, f"ntile-{out}")
-    spots = [placed.locate(p) for p in ntile_starts(placed.total, tiles)]
+    placed = place_in_order(df.select(*names), keys, f"ntile-{label}")
+    spots = placed.locate(ntile_starts(placed.total, tiles))
     if not spots:
-        return df.withColumn(out, F.lit(1))
+        return F.lit(1)
     wanted = reduce(
         Column.__or__, ((F.col(CHUNK) == c) & (F.col(PLACE) == p) for c, p in spots)
     )
@@ -148,4 +164,4 @@ def ntile(df: DataFrame, order: Sequence[SortKey | str], tiles: int, out: str) -
             tied = tied & F.col(key.name).eqNullSafe(value)
         return (ahead | tied).cast("int")
 
-    return df.withColumn(out, reduce(Column.__add__, (reached(f) for f in firsts), F.lit(1)))
+    return reduce(Column.__add__, (reached(f) for f in firsts), F.lit(1))

@@ -107,11 +107,13 @@ def _chunked_lag(
 ) -> DataFrame:
     placed = place_in_order(df, [*keys, *order], "lag")
     # Each chunk borrows the n rows before its first one: at most n * chunks rows.
-    borrowed = [
-        (*placed.locate(position), chunk)
+    wanted_by = [
+        (position, chunk)
         for chunk, start in placed.offsets()
         for position in range(max(0, start - n), start)
     ]
+    spots = placed.locate([position for position, _ in wanted_by])
+    borrowed = [(*spot, chunk) for spot, (_, chunk) in zip(spots, wanted_by)]
     own = placed.rows.withColumn("_own", F.lit(True))
     rows = own
     if borrowed:

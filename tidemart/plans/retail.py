@@ -30,17 +30,20 @@ def dim_customer(log: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def fact_sales(log: DataFrame, calendar: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+def fact_sales(
+    log: DataFrame, calendar: DataFrame, first: dt.date, last: dt.date, *extra: str
+) -> DataFrame:
     """Fact rows of the days ``first`` to ``last``; a day the calendar lacks has no date id.
 
     One day is the daily load, a longer range a backfill. The range reaches the
-    scan of the log; the calendar is one row per day.
+    scan of the log; the calendar is one row per day. ``extra`` columns of the
+    log are passed through.
     """
     days = calendar.select("date_id", F.col("date_actual").alias("_day"))
     rows = log.filter(in_days(F.col("date_time"), first, last)).withColumn(
         "_day", F.to_date("date_time")
     )
-    return conform(rows.join(broadcast_if_small(days), "_day", "left"), SALES_FACT)
+    return conform(rows.join(broadcast_if_small(days), "_day", "left"), SALES_FACT, *extra)
 
 
 def fact_sales_daily(log: DataFrame, calendar: DataFrame, day: dt.date) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemart.constants import CLOSED
 from tidemart.functions.temporal import since
-from tidemart.operators.ordering import SortKey, ntile
+from tidemart.operators.ordering import SortKey, ntiles
 from tidemart.operators.windows import latest_per_key
 from tidemart.schemas import RFM_SEGMENTS, conform
 from tidemart.session import write_shared
@@ -74,12 +74,11 @@ def rfm_segments(
         .join(spent, "user_id", "left")
         .withColumn("order_count", F.coalesce("order_count", F.lit(0)))
     )
-    scored = write_shared(measures, "rfm-measures")
-    orders_by = (
+    measures = write_shared(measures, "rfm-measures")
+    keys = (
         SortKey("last_order", descending=newest_first),
         SortKey("order_count"),
         SortKey("spent"),
     )
-    for key, out in zip(orders_by, SCORES):
-        scored = ntile(scored, [key, SortKey("user_id")], tiles, out)
-    return conform(scored, RFM_SEGMENTS)
+    orders_by = {out: [key, SortKey("user_id")] for out, key in zip(SCORES, keys)}
+    return conform(ntiles(measures, orders_by, tiles), RFM_SEGMENTS)

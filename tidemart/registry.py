@@ -14,7 +14,7 @@ from tidemart.functions.temporal import month_starts
 from tidemart.operators import quality
 from tidemart.operators.cleaning import clean_log
 from tidemart.plans import activity, retail, rfm, shipping
-from tidemart.session import fresh_path, write_shared
+from tidemart.session import fresh_path, in_parallel, write_shared
 from tidemart.sources import adapters
 from tidemart.sources.landing import (
     DAY,
@@ -234,9 +234,11 @@ def dim_transfer(spark, root):
 
 @query
 def shipping_info(spark, root):
-    return shipping.shipping_info(
-        adapters.shipping_log(spark, root), dim_country_rates(spark, root), dim_transfer(spark, root)
+    log = adapters.shipping_log(spark, root)
+    countries, transfers = in_parallel(
+        lambda: shipping.dim_country_rates(log), lambda: shipping.dim_transfer(log)
     )
+    return shipping.shipping_info(log, countries, transfers)
 
 
 @query
@@ -252,12 +254,16 @@ def shipping_status_ties(spark, root):
 @query
 def shipping_datamart(spark, root):
     log = adapters.shipping_log(spark, root)
-    countries, transfers = dim_country_rates(spark, root), dim_transfer(spark, root)
+    countries, transfers, agreements = in_parallel(
+        lambda: shipping.dim_country_rates(log),
+        lambda: shipping.dim_transfer(log),
+        lambda: write_shared(shipping.dim_agreement(log), "agreements"),
+    )
     return shipping.shipping_datamart(
         shipping.shipping_info(log, countries, transfers),
         shipping.shipping_status(log),
         countries,
-        write_shared(shipping.dim_agreement(log), "agreements"),
+        agreements,
         transfers,
     )
 

@@ -61,6 +61,9 @@ CUSTOMER_RESEARCH = schema_of(
 USER_ACTIVITY_LOG = schema_of(
     "date_time timestamp_ntz, action_id long, customer_id long, quantity long"
 )
+DIM_CITY = schema_of("city_id integer, city_name string")
+DIM_ITEM = schema_of("item_id long, item_name string")
+DIM_CUSTOMER = schema_of("customer_id long, first_name string, last_name string, city_id integer")
 SALES_FACT = schema_of(
     "date_id integer, item_id long, customer_id long, city_id integer, quantity long, "
     "payment_amount decimal(14,2)"

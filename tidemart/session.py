@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +19,8 @@ _DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+T = TypeVar("T")
+
 _local_folders: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
 
@@ -76,6 +81,18 @@ def write_shared(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_parallel(*jobs: Callable[[], T]) -> list[T]:
+    """Run independent driver calls at the same time, so that their Spark jobs overlap."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(target)
+
+
 def release_written(spark: SparkSession) -> int:
     """Delete what this session wrote to the shared folder; returns the number of paths.
 
