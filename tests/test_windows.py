@@ -8,9 +8,12 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemart import schemas
 from tidemart.functions.temporal import month_name
 from tidemart.operators.skew import broadcast_if_small, hot_keys, skew_join, split_hot
 from tidemart.operators.windows import lag_n, latest_per_key, running_total
+from tidemart.plans import activity
+from tidemart.sources import adapters
 
 T = dt.datetime
 
@@ -88,8 +91,9 @@ def test_latest_per_key_and_ties(spark):
     rows = [(1, T(2024, 1, 1), 1, "a"), (1, T(2024, 1, 2), 2, "b"), (1, T(2024, 1, 2), 3, "c")]
     df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, id int, state string")
     assert [r.state for r in latest_per_key(df, ["k"], ["ts", "id"]).collect()] == ["c"]
-    ties = latest_per_key(df, ["k"], ["ts"], keep_ties=True)
-    assert sorted(r.state for r in ties.collect()) == ["b", "c"]
+    for hot in (100, 0):
+        ties = latest_per_key(df, ["k"], ["ts"], keep_ties=True, hot_rows=hot)
+        assert sorted(r.state for r in ties.collect()) == ["b", "c"]
 
 
 def test_latest_per_key_equals_self_join(posts):
@@ -124,3 +128,21 @@ def test_broadcast_needs_a_small_side(spark, plan_of):
         assert "BroadcastHashJoin" not in plan_of(big.join(broadcast_if_small(small, 9), "id"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_reports_agree_when_every_user_is_hot(spark):
+    posts = adapters.posts_from_orders(spark, "/root/testdata/sf0.001")
+    for report in (activity.running_views, activity.second_last_month):
+        _same(report(posts, hot_rows=5), report(posts))
+    people, types = adapters.users(spark, "/root/testdata/sf0.001"), adapters.post_types(spark)
+    split = activity.active_new_users(posts, people, types, 12, 2, hot_rows=3)
+    _same(split, activity.active_new_users(posts, people, types, 12, 2))
+
+
+def test_top_author_tie_goes_to_the_smallest_id(spark):
+    posts = spark.createDataFrame(
+        [(n, user, T(2024, 1, n), Decimal(1), "a") for n, user in enumerate([9, 4, 9, 4], 1)],
+        schemas.POSTS,
+    )
+    weekly = activity.top_author_weekly(posts, dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+    assert [tuple(r) for r in weekly.collect()] == [(1, T(2024, 1, 4))]

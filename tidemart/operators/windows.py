@@ -14,23 +14,28 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.numeric import percent, percent_change
 from tidemart.operators.ordering import CHUNK, PLACE, place_in_order
-from tidemart.operators.skew import HOT_ROWS, null_safe_join, split_hot
+from tidemart.operators.skew import HOT_ROWS, null_safe_join, skew_join, split_hot
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], keep_ties: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    keep_ties: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The last row of each key along ``order``.
 
     One row per key: ``order`` should be total, and the maximum is combined
     before the shuffle, so a heavy key costs one row per task. ``keep_ties``
-    returns every row that shares the last value of ``order``; the rank filter
-    is also applied before the shuffle.
+    returns every row that shares the last value of ``order``, however many; rows
+    of a NULL key are then left out.
     """
     keys, order = list(keys), list(order)
     if keep_ties:
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-        return df.withColumn("_rank", F.rank().over(w)).filter("_rank = 1").drop("_rank")
+        last = df.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_last"))
+        tied = skew_join(df, last, keys, min_rows=hot_rows)
+        return tied.filter(F.struct(*order) == F.col("_last")).select(*df.columns)
     others = [c for c in df.columns if c not in keys and c not in order]
     last = F.max(F.struct(*order, *others)).alias("_last")
     return df.groupBy(*keys).agg(last).select(*keys, "_last.*").select(*df.columns)

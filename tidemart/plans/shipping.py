@@ -1,7 +1,9 @@
 """A delivery log broken into dimensions, facts and a tariff and lateness mart.
 
 Build order: the three dimensions, then ``shipping_info`` and
-``shipping_status``, then ``shipping_datamart`` on top.
+``shipping_status``, then ``shipping_datamart`` on top. Pass the dimensions on as
+loaded tables (``shipping_dims`` does): Spark then knows their size and
+broadcasts them if they are small, and joins by shuffle if not.
 """
 
 from __future__ import annotations
@@ -16,7 +18,6 @@ from tidemart.functions.numeric import percent
 from tidemart.functions.temporal import full_days
 from tidemart.functions.text import split_fields
 from tidemart.operators.keys import surrogate_key
-from tidemart.operators.skew import broadcast_if_small
 from tidemart.operators.windows import latest_per_key
 from tidemart.schemas import (
     SHIPPING_AGREEMENT,
@@ -25,6 +26,38 @@ from tidemart.schemas import (
     SHIPPING_TRANSFER,
     conform,
 )
+from tidemart.session import in_parallel, write_shared
+
+
+# The columns dimensions are made of.
+DESCRIPTIONS = (
+    "shipping_country",
+    "shipping_country_base_rate",
+    "shipping_transfer_description",
+    "shipping_transfer_rate",
+    "vendor_agreement_description",
+)
+LOG_ROWS = "log_rows"
+
+
+def description_counts(log: DataFrame) -> DataFrame:
+    """The distinct descriptions of the log with their row counts.
+
+    Any dimension can be made from this frame instead of the log.
+    """
+    return log.groupBy(*DESCRIPTIONS).agg(F.count(F.lit(1)).alias(LOG_ROWS))
+
+
+def shipping_dims(log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Countries, agreements and transfers as written tables, from one pass over the log."""
+    texts = write_shared(description_counts(log), "descriptions")
+    return tuple(
+        in_parallel(
+            lambda: write_shared(dim_country_rates(texts), "countries"),
+            lambda: write_shared(dim_agreement(texts), "agreements"),
+            lambda: write_shared(dim_transfer(texts), "transfers"),
+        )
+    )
 
 
 def dim_country_rates(log: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -63,8 +96,9 @@ def dim_transfer(log: DataFrame, existing: DataFrame | None = None) -> DataFrame
     same fields are then added up.
     """
     rate = F.col("shipping_transfer_rate")
+    weight = F.col(LOG_ROWS) if LOG_ROWS in log.columns else F.lit(1)
     per_text = log.groupBy("shipping_transfer_description").agg(
-        F.sum(rate).alias("_sum"), F.count(rate).alias("_count")
+        F.sum(rate * weight).alias("_sum"), F.sum(F.when(rate.isNotNull(), weight)).alias("_count")
     )
     fields = split_fields(F.col("shipping_transfer_description"), TRANSFER_FIELDS)
     rates = (
@@ -96,9 +130,7 @@ def shipping_info(log: DataFrame, countries: DataFrame, transfers: DataFrame) ->
     ).distinct()
     transfer_ids = transfers.select("transfer_type_id", *TRANSFER_FIELDS)
     country_ids = countries.select("shipping_country_id", "shipping_country")
-    linked = facts.join(broadcast_if_small(transfer_ids), list(TRANSFER_FIELDS)).join(
-        broadcast_if_small(country_ids), "shipping_country"
-    )
+    linked = facts.join(transfer_ids, list(TRANSFER_FIELDS)).join(country_ids, "shipping_country")
     return conform(linked, SHIPPING_INFO)
 
 
@@ -142,26 +174,12 @@ def shipping_datamart(
     transfers: DataFrame,
 ) -> DataFrame:
     """Delivery days, lateness, tax and profit of each delivery."""
+    rates = transfers.select("transfer_type_id", "transfer_type", "shipping_transfer_rate")
     tariffs = (
         info.join(status, "shippingid")
-        .join(
-            broadcast_if_small(
-                transfers.select("transfer_type_id", "transfer_type", "shipping_transfer_rate")
-            ),
-            "transfer_type_id",
-        )
-        .join(
-            broadcast_if_small(
-                countries.select("shipping_country_id", "shipping_country_base_rate")
-            ),
-            "shipping_country_id",
-        )
-        .join(
-            broadcast_if_small(
-                agreements.select("agreementid", "agreement_rate", "agreement_commission")
-            ),
-            "agreementid",
-        )
+        .join(rates, "transfer_type_id")
+        .join(countries.drop("shipping_country"), "shipping_country_id")
+        .join(agreements.drop("agreement_number"), "agreementid")
     )
     start, end = F.col("shipping_start_fact_datetime"), F.col("shipping_end_fact_datetime")
     plan, paid = F.col("shipping_plan_datetime"), F.col("payment_amount")

@@ -14,7 +14,7 @@ from tidemart.functions.temporal import month_starts
 from tidemart.operators import quality
 from tidemart.operators.cleaning import clean_log
 from tidemart.plans import activity, retail, rfm, shipping
-from tidemart.session import fresh_path, in_parallel, write_shared
+from tidemart.session import fresh_path
 from tidemart.sources import adapters
 from tidemart.sources.landing import (
     DAY,
@@ -121,7 +121,7 @@ def avg_daily_posts(spark, root):
 def avg_active_days(spark, root):
     posts = adapters.posts_from_events(spark, root)
     authors = posts.select(F.col("user_id").alias("id")).distinct()
-    kinds = posts.select(F.col("post_type_id").alias("id")).distinct()
+    kinds = adapters.event_types(spark)
     return activity.avg_active_days(posts, authors, kinds, D(2024, 1, 1), D(2024, 1, 7))
 
 
@@ -235,9 +235,7 @@ def dim_transfer(spark, root):
 @query
 def shipping_info(spark, root):
     log = adapters.shipping_log(spark, root)
-    countries, transfers = in_parallel(
-        lambda: shipping.dim_country_rates(log), lambda: shipping.dim_transfer(log)
-    )
+    countries, _, transfers = shipping.shipping_dims(log)
     return shipping.shipping_info(log, countries, transfers)
 
 
@@ -254,11 +252,7 @@ def shipping_status_ties(spark, root):
 @query
 def shipping_datamart(spark, root):
     log = adapters.shipping_log(spark, root)
-    countries, transfers, agreements = in_parallel(
-        lambda: shipping.dim_country_rates(log),
-        lambda: shipping.dim_transfer(log),
-        lambda: write_shared(shipping.dim_agreement(log), "agreements"),
-    )
+    countries, agreements, transfers = shipping.shipping_dims(log)
     return shipping.shipping_datamart(
         shipping.shipping_info(log, countries, transfers),
         shipping.shipping_status(log),

@@ -62,6 +62,15 @@ def post_types(spark: SparkSession) -> DataFrame:
     )
 
 
+# Event types as action ids.
+ACTIONS = {"view": 1, "click": 2, "signup": 3, "purchase": 4, "error": 5}
+
+
+def event_types(spark: SparkSession) -> DataFrame:
+    values = ", ".join(f"('{name}', '{name}')" for name in ACTIONS)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t(id, type)")
+
+
 def users(spark: SparkSession, root: str) -> DataFrame:
     """Customers who ordered; sign-up is the first order, the (shared) display name the nation."""
     signups = (
@@ -285,10 +294,6 @@ def customer_research(spark: SparkSession, root: str) -> DataFrame:
     return conform(rows, CUSTOMER_RESEARCH)
 
 
-# Event types as action ids.
-ACTIONS = {"view": 1, "click": 2, "signup": 3, "purchase": 4, "error": 5}
-
-
 def user_activity_log(spark: SparkSession, root: str) -> DataFrame:
     rows = table(spark, root, "events").select(
         F.col("ts").alias("date_time"),
