@@ -402,7 +402,16 @@ def statements() -> dict[str, str]:
             "cleaned",
         ),
         "daily_increment": _with(
-            f" SELECT {_LOG_COLUMNS}, strftime(date_time, '%Y-%m-%d') AS dt FROM cleaned", "cleaned"
+            f"""
+            , landed AS (
+                SELECT * EXCLUDE (payment_amount), date_time >= TIMESTAMP '2001-07-01' AS increment,
+                       (CASE WHEN increment AND flag = 'R' THEN -price ELSE price END)::DECIMAL(14,2)
+                           AS payment_amount
+                FROM cleaned)
+            SELECT {_LOG_COLUMNS},
+                   CASE WHEN increment THEN strftime(date_time, '%Y-%m-%d') ELSE '2001-06-30' END AS dt
+            FROM landed""",
+            "cleaned",
         ),
         "stage_customer_research": """
             SELECT o_orderdate::TIMESTAMP AS date_id, left(o_orderpriority, 1)::INT AS category_id,

@@ -14,10 +14,11 @@ from tidemart.functions.temporal import month_starts
 from tidemart.operators import quality
 from tidemart.operators.cleaning import clean_log
 from tidemart.plans import activity, retail, rfm, shipping
-from tidemart.session import fresh_path
+from tidemart.session import fresh_path, in_parallel
 from tidemart.sources import adapters
 from tidemart.sources.landing import (
     DAY,
+    day_folder,
     read_csv,
     read_staged,
     union_generations,
@@ -34,8 +35,10 @@ FIRST_MONTH, LAST_MONTH = D(1995, 1, 1), D(2001, 8, 1)
 RFM_START = dt.datetime(2000, 1, 1)
 FACT_DAY = D(1995, 6, 19)
 FACT_FIRST, FACT_LAST = D(1995, 1, 1), D(2001, 12, 31)
-# Files up to this day are of the generation without a status column.
+# Files before this day are of the generation without a status column.
 STATUS_SINCE = D(1998, 1, 1)
+# The first day that is delivered as a file of its own; all before it came as one export.
+INCREMENTS_SINCE = D(2001, 7, 1)
 # The day the catch-up run takes as today.
 TODAY = D(2001, 8, 2)
 SCORES = list(rfm.SCORES)
@@ -253,13 +256,14 @@ def shipping_status_ties(spark, root):
 def shipping_datamart(spark, root):
     log = adapters.shipping_log(spark, root)
     countries, agreements, transfers = shipping.shipping_dims(log)
-    return shipping.shipping_datamart(
+    mart = shipping.shipping_datamart(
         shipping.shipping_info(log, countries, transfers),
         shipping.shipping_status(log),
         countries,
         agreements,
         transfers,
     )
+    return publish_view(mart, "shipping_datamart")
 
 
 @query
@@ -270,24 +274,33 @@ def vendor_quality(spark, root):
 # --- retail -------------------------------------------------------------------
 
 
-def _two_generations(spark, root) -> tuple[DataFrame, DataFrame]:
+def _two_generations(spark, root, since: dt.date) -> tuple[DataFrame, DataFrame]:
     """The order log as files looked before and after the status column came."""
     log = adapters.order_log(spark, root)
-    is_old = F.to_date("date_time") < F.lit(STATUS_SINCE)
+    is_old = F.to_date("date_time") < F.lit(since)
     new = log.filter(~is_old).select(F.col("id").alias("Unnamed: 0"), "*")
     return log.filter(is_old).drop("status"), new
 
 
 def _land_orders(spark, root) -> str:
-    """Export the order log as a feed of daily CSV folders."""
+    """Export the order log as a feed: one history folder, then a folder per day."""
     feed = fresh_path(spark, "landing")
-    for name, rows in zip(("plain", "with-status"), _two_generations(spark, root)):
-        write_csv_days(rows.withColumn(DAY, F.to_date("date_time")), f"{feed}/{name}", "id")
+    history, daily = _two_generations(spark, root, INCREMENTS_SINCE)
+    exported_on = INCREMENTS_SINCE - dt.timedelta(days=1)
+    daily = daily.withColumn(DAY, F.to_date("date_time"))
+    in_parallel(
+        lambda: write_csv(history, day_folder(f"{feed}/history", exported_on)),
+        lambda: write_csv_days(daily, f"{feed}/increments", "id"),
+    )
     return feed
 
 
 def _cleaned(spark, root, dedupe: bool) -> DataFrame:
-    files = [write_csv(g, fresh_path(spark, "landing")) for g in _two_generations(spark, root)]
+    old, new = _two_generations(spark, root, STATUS_SINCE)
+    files = in_parallel(
+        lambda: write_csv(old, fresh_path(spark, "landing")),
+        lambda: write_csv(new, fresh_path(spark, "landing")),
+    )
     cleaned = [clean_log(read_csv(spark, [f]), dedupe=dedupe) for f in files]
     return schemas.conform(union_generations(cleaned), schemas.USER_ORDER_LOG)
 
@@ -304,7 +317,7 @@ def clean_order_log_deduped(spark, root):
 
 @query
 def daily_increment(spark, root):
-    """All landed days through the file stream, then the catch-up days once more."""
+    """All landed folders through the file stream, then the catch-up days once more."""
     feed = _land_orders(spark, root)
     staging = fresh_path(spark, "staging")
     target = schemas.USER_ORDER_LOG

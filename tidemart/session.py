@@ -83,7 +83,7 @@ def write_shared(df: DataFrame, label: str) -> DataFrame:
 
 def in_parallel(*jobs: Callable[[], T]) -> list[T]:
     """Run independent driver calls at the same time, so that their Spark jobs overlap."""
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
         return list(pool.map(lambda job: job(), jobs))
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tidemart.session import in_parallel
+
 DAY = "dt"
 _CSV = {
     "header": "true",
@@ -59,19 +61,23 @@ def read_generations(
     """One frame per file generation of a feed, limited to ``days`` where given.
 
     A feed folder holds one folder per generation, each with ``dt=YYYY-MM-DD``
-    folders of a single header. Only the wanted days' folders are opened. The
+    folders (the day of the file, so a history export is one folder) of a single
+    header. Only the wanted days' folders are opened. The
     frames are kept apart because their columns differ; clean them, then union
     by name.
     """
     wanted = None if days is None else set(days)
-    frames = []
+    paths = {}
     for generation in subfolders(spark, feed):
         root = f"{feed}/{generation}"
         present = [n.removeprefix(f"{DAY}=") for n in subfolders(spark, root)]
         held = [d for d in present if wanted is None or d in wanted]
         if held:
-            frames.append(read_csv(spark, [day_folder(root, d) for d in held], base=root))
-    return frames
+            paths[root] = [day_folder(root, d) for d in held]
+    # Listing many folders takes a Spark job per generation.
+    return in_parallel(
+        *[lambda root=root, held=held: read_csv(spark, held, base=root) for root, held in paths.items()]
+    )
 
 
 def union_generations(frames: Sequence[DataFrame]) -> DataFrame:
