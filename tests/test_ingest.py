@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemart import schemas
 from tidemart.operators.cleaning import clean_log
-from tidemart.plans.daily_load import load_day, load_days, rebuild_retention
+from tidemart.plans.daily_load import load_day, load_days, load_fact, rebuild_retention
 from tidemart.session import fresh_path, release_written, shared_folder
 from tidemart.sources.landing import file_prefix, read_csv, read_staged
 from tidemart.sources.tables import save_mart
@@ -171,6 +171,14 @@ def test_daily_load_end_to_end(spark, feed, tmp_path):
     later = tables()
     assert len(later["f_sales"]) == 5 and len(later["d_item"]) == 2
     assert later["d_city"] == first["d_city"]
+    # A history export: its older rows reach the fact by a backfill, once however often it runs.
+    old = [row("2023-12-30", "3.00"), row("2023-12-31", "4.00"), row("2023-12-31", "4.00")]
+    land(feed, "plain", "2023-12-31", old, "history.csv")
+    load_day(spark, str(feed), home, calendar, dt.date(2023, 12, 31))
+    assert len(tables()["f_sales"]) == 7
+    for _ in range(2):
+        load_fact(spark, home, calendar, dt.date(2023, 12, 1), dt.date(2023, 12, 31))
+        assert len(tables()["f_sales"]) == 8
 
 
 def test_staged_day_filter_prunes_folders(spark, feed, tmp_path, plan_of):

@@ -1,7 +1,7 @@
 """The retail load from landing files to the weekly mart.
 
-Layout under a warehouse folder: ``staging/user_order_log`` and ``mart/f_sales``
-by day, ``mart/d_city``, ``mart/d_item``, ``mart/d_customer`` appended,
+Layout under a warehouse folder: ``staging/user_order_log`` by day of the file,
+``mart/f_sales`` by day of the row, ``mart/d_city``, ``mart/d_item``, ``mart/d_customer`` appended,
 ``mart/f_customer_retention`` rebuilt. Every step can be run again: staging and
 fact days are replaced, and only keys a dimension lacks are appended.
 """
@@ -21,6 +21,8 @@ from tidemart.sources.landing import DAY, read_staged, stage_days
 from tidemart.sources.tables import append_rows, read_or_empty, save_mart
 from tidemart.streaming.ingest import ingest_days
 
+STAGING = "staging/user_order_log"
+
 _DIMS = {
     "d_item": (retail.dim_item, schemas.DIM_ITEM),
     "d_city": (retail.dim_city, schemas.DIM_CITY),
@@ -38,14 +40,16 @@ def load_day(
 def load_days(
     spark: SparkSession, feed: str, warehouse: str, calendar: DataFrame, days: Sequence[str]
 ) -> None:
-    """Stage the given days, then bring dimensions and fact up to date with them.
+    """Stage the files of the given days, then bring dimensions and fact up to date.
 
-    Several days go through in one pass, which is how a backfill should run.
+    Several days go through in one pass. The fact receives the rows dated from
+    the first to the last of these days; a history export holds older rows too,
+    which ``load_fact`` brings in.
     """
-    staging, target = f"{warehouse}/staging/user_order_log", schemas.USER_ORDER_LOG
-    if not ingest_days(spark, feed, staging, target, days):
+    target = schemas.USER_ORDER_LOG
+    if not ingest_days(spark, feed, f"{warehouse}/{STAGING}", target, days):
         return
-    log = read_staged(spark, staging, target).filter(F.col(DAY).isin(list(days)))
+    log = read_staged(spark, f"{warehouse}/{STAGING}", target).filter(F.col(DAY).isin(list(days)))
 
     def append(name: str) -> None:
         new_rows, schema = _DIMS[name]
@@ -54,8 +58,22 @@ def load_days(
 
     in_parallel(*[lambda name=name: append(name) for name in _DIMS])
     first, last = (dt.date.fromisoformat(d) for d in (min(days), max(days)))
-    fact = retail.fact_sales(log, calendar, first, last, DAY)
-    stage_days(fact, f"{warehouse}/mart/f_sales")
+    load_fact(spark, warehouse, calendar, first, last)
+
+
+def load_fact(
+    spark: SparkSession, warehouse: str, calendar: DataFrame, first: dt.date, last: dt.date
+) -> None:
+    """Replace the fact days ``first`` to ``last`` with what staging holds for them.
+
+    Staging is kept by the day of the file, the fact by the day of the row, so
+    rows that came late or with a history export are found in whichever file
+    brought them. The range is a pushed filter on the row's time.
+    """
+    log = read_staged(spark, f"{warehouse}/{STAGING}", schemas.USER_ORDER_LOG)
+    dated = log.withColumn(DAY, F.to_date("date_time").cast("string"))
+    fact = retail.fact_sales(dated, calendar, first, last, DAY)
+    stage_days(fact, f"{warehouse}/mart/f_sales", by_day=False)
 
 
 def rebuild_retention(spark: SparkSession, warehouse: str, iso_period: bool = False) -> None:
