@@ -228,6 +228,17 @@ def test_transfer_texts_with_repeated_separators(spark):
     assert shipping.shipping_info(log, shipping.dim_country_rates(log), shipping.dim_transfer(log)).count() == 2
 
 
+def test_dims_from_description_counts_equal_dims_from_log(spark):
+    steps = [("booked", "in_progress", T(2024, 1, 1)), ("queued", "in_progress", T(2024, 1, 2))]
+    log = delivery(spark, steps).unionByName(
+        delivery(spark, steps[:1], shippingid=2, transfer="1p::car", rate=M("0.030"), base=M("0.02"))
+    )
+    countries, agreements, transfers = shipping.shipping_dims(log)
+    assert rows(countries) == rows(shipping.dim_country_rates(log))
+    assert rows(agreements) == rows(shipping.dim_agreement(log))
+    assert rows(transfers) == rows(shipping.dim_transfer(log)) == [(1, "1p", "car", M("0.027"))]
+
+
 def test_agreement_rate_scale(spark):
     steps = [("booked", "in_progress", T(2024, 1, 1))]
     log = delivery(spark, steps, agreement="12:vsp-34:0.025:0.023")

@@ -58,6 +58,14 @@ def test_row_number_equals_window(scored):
     assert got.filter("want <> got").count() == 0 and got.count() == 1500
 
 
+@pytest.mark.parametrize("small", [1499, 1500])
+def test_row_number_is_the_same_in_one_task(scored, small):
+    by_window = global_row_number(scored, ["value", "id"], "n", 7, small)
+    placed = global_row_number(scored, ["value", "id"], "n", 7)
+    assert by_window.dtypes == placed.dtypes
+    assert by_window.exceptAll(placed).count() == 0
+
+
 def test_row_number_of_nothing(spark):
     df = spark.createDataFrame([], "id bigint")
     assert global_row_number(df, ["id"], "n").columns == ["id", "n"]

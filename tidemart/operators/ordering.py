@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.session import in_parallel, write_shared
@@ -98,9 +98,16 @@ def place_in_order(df: DataFrame, order: Sequence[SortKey | str], label: str) ->
 
 
 def global_row_number(
-    df: DataFrame, order: Sequence[SortKey | str], out: str, start: int = 1
+    df: DataFrame, order: Sequence[SortKey | str], out: str, start: int = 1, small_rows: int = 0
 ) -> DataFrame:
-    """Row numbers over the whole frame, counted from ``start``."""
+    """Row numbers over the whole frame, counted from ``start``.
+
+    Where ``df`` is cheap to count, ``small_rows`` lets a frame of at most that
+    many rows be numbered by one window instead.
+    """
+    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
+        w = Window.orderBy(*[k.column() for k in as_keys(order)])
+        return df.withColumn(out, F.row_number().over(w).cast("bigint") + F.lit(start - 1))
     placed = place_in_order(df, order, "row-number")
     if not placed.counts:
         return placed.rows.drop(CHUNK, PLACE).withColumn(out, F.lit(None).cast("bigint"))

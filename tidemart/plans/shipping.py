@@ -48,6 +48,11 @@ def description_counts(log: DataFrame) -> DataFrame:
     return log.groupBy(*DESCRIPTIONS).agg(F.count(F.lit(1)).alias(LOG_ROWS))
 
 
+def _small(log: DataFrame) -> int:
+    """How many dimension rows may be numbered in one task; counting is cheap on the counts frame."""
+    return 10_000 if LOG_ROWS in log.columns else 0
+
+
 def shipping_dims(log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Countries, agreements and transfers as written tables, from one pass over the log."""
     texts = write_shared(description_counts(log), "descriptions")
@@ -64,9 +69,8 @@ def dim_country_rates(log: DataFrame, existing: DataFrame | None = None) -> Data
     """Distinct (country, base rate) pairs with an id."""
     natural = ["shipping_country", "shipping_country_base_rate"]
     pairs = log.select(*natural).distinct()
-    return conform(
-        surrogate_key(pairs, natural, "shipping_country_id", existing), SHIPPING_COUNTRY_RATES
-    )
+    numbered = surrogate_key(pairs, natural, "shipping_country_id", existing, _small(log))
+    return conform(numbered, SHIPPING_COUNTRY_RATES)
 
 
 def dim_agreement(log: DataFrame, rate_scale: int = 2) -> DataFrame:
@@ -106,10 +110,10 @@ def dim_transfer(log: DataFrame, existing: DataFrame | None = None) -> DataFrame
         .groupBy(*TRANSFER_FIELDS)
         .agg((F.sum("_sum") / F.sum("_count")).cast("decimal(14,3)").alias("shipping_transfer_rate"))
     )
-    return conform(
-        surrogate_key(rates, list(TRANSFER_FIELDS), "transfer_type_id", existing),
-        SHIPPING_TRANSFER,
+    numbered = surrogate_key(
+        rates, list(TRANSFER_FIELDS), "transfer_type_id", existing, _small(log)
     )
+    return conform(numbered, SHIPPING_TRANSFER)
 
 
 def shipping_info(log: DataFrame, countries: DataFrame, transfers: DataFrame) -> DataFrame:
