@@ -6,8 +6,8 @@ there, what they leave is shared among the others by weight, and so on until non
 above its cap. Each round is one aggregate over the (written) table of sources.
 
 A source then repeats all its documents ``floor(target / size)`` times, and for the
-fractional rest takes whole documents in the order of a seeded hash until the target
-is met, to within half a document. The order is never sorted as a whole: words are
+fractional rest takes documents once more in the order of a seeded hash until the target
+is met; the last of them is taken in part. The order is never sorted as a whole: words are
 summed per source and hash bucket, prefix sums over the buckets find the one in which
 the target falls, and only that bucket's rows are put in order.
 
@@ -95,8 +95,9 @@ def mix_plan(
 ) -> DataFrame:
     """What each source takes, from ``measured`` rows that give the same on each reading.
 
-    Returns source, source_size, target, whole (repetitions of every document), cut_bucket
-    and cut_order (documents ordered up to there are taken once more).
+    Returns of (the source), source_size, target, whole (repetitions of every document), need
+    (words beyond those), cut_order (documents ordered before it are taken once more; null:
+    all are) and cut_part (the part taken of the document there).
     """
     buckets = write_shared(
         rows.groupBy("source", _bucket(F.col("order")).alias("bucket")).agg(F.sum("size").alias("words")),
@@ -121,7 +122,7 @@ def mix_plan(
     )
     cuts = write_shared(cuts, "mix-cuts")
     # Documents with equal hashes form one step of the order.
-    last = (
+    steps = (
         rows.join(
             small(cuts),
             F.col("source").eqNullSafe(F.col("of")) & (_bucket(F.col("order")) == F.col("cut_bucket")),
@@ -130,50 +131,62 @@ def mix_plan(
         .agg(F.sum("size").alias("words"))
     )
     along = Window.partitionBy("of").orderBy("order")
-    reached = F.sum("words").over(along) - F.col("words") / 2 <= F.col("left")
-    last = last.withColumn("in", reached).filter("in").groupBy("of").agg(F.max("order").alias("cut_order"))
-    other = [c.withColumnRenamed("of", "of_") for c in (cuts.select("of", "cut_bucket"), last)]
-    out = plan
-    for side in other:
-        out = out.join(side, F.col("of").eqNullSafe(F.col("of_")), "left").drop("of_")
-    return write_shared(out.select("of", "source_size", "target", "whole", "cut_bucket", "cut_order"), "mix-cut-plan")
+    last = (
+        steps.withColumn("past", F.sum("words").over(along) - F.col("left"))
+        .filter((F.col("past") > 0) & (F.col("past") <= F.col("words")))
+        .select(
+            F.col("of").alias("of_"),
+            F.col("order").alias("cut_order"),
+            (1 - F.col("past") / F.col("words")).alias("cut_part"),
+        )
+    )
+    out = plan.join(last, F.col("of").eqNullSafe(F.col("of_")), "left").drop("of_")
+    return write_shared(out, "mix-cut-plan")
 
 
-def repetitions(order: Column, plan: str = "") -> Column:
-    """Times a document is taken, beside its source's row of the plan (``plan``: prefix of its columns)."""
-    bucket, cut = _bucket(order), F.col(f"{plan}cut_bucket")
-    once_more = (bucket < cut) | ((bucket == cut) & (order <= F.col(f"{plan}cut_order")))
-    return F.col(f"{plan}whole") + F.coalesce(once_more, F.lit(False)).cast("long")
+def repetitions(order: Column, plan: str = "") -> tuple[Column, Column]:
+    """Full repetitions of a document and the part of it that is taken besides, beside its
+    source's row of the plan (``plan``: prefix of the plan's columns)."""
+    cut = F.col(f"{plan}cut_order")
+    fits = (F.col(f"{plan}need") > 0) & F.coalesce(order < cut, F.lit(True))
+    full = F.col(f"{plan}whole") + fits.cast("long")
+    return full, F.when(order == cut, F.col(f"{plan}cut_part")).otherwise(0.0)
 
 
 def mix_counts(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: float = MAX_EPOCHS, seed: int = SEED
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, times and taken of every document."""
+    """doc_id, source, size, source_size, target, full (repetitions), part and taken of every document.
+
+    ``part`` is above 0 for one document per source (and those equal to it), of which
+    only the first words are taken once more, so that the source meets its target.
+    """
     rows = write_shared(measured(docs, seed), "mix-rows")
     plan = small(mix_plan(rows, weights, max_epochs))
-    return (
-        rows.join(plan, F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("times", repetitions(F.col("order")))
-        .select(
-            "doc_id", "source", "size", "source_size", "target", "times",
-            (F.col("times") * F.col("size")).alias("taken"),
-        )
+    full, part = repetitions(F.col("order"))
+    taken = full * F.col("size") + F.round(part * F.col("size")).cast("long")
+    return rows.join(plan, F.col("source").eqNullSafe(F.col("of"))).select(
+        "doc_id", "source", "size", "source_size", "target",
+        full.alias("full"), part.alias("part"), taken.alias("taken"),
     )
 
 
 def mix_documents(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: float = MAX_EPOCHS, seed: int = SEED
 ) -> DataFrame:
-    """The mixed rows themselves: every document as often as it is taken, all columns kept."""
+    """The mixed rows themselves, all columns kept: every document as often as it is taken.
+
+    Only whole documents are given out: the one that is cut by its source's target comes
+    once more if at least half of it is within.
+    """
     rows = write_shared(measured(docs, seed), "mix-rows")
     plan = mix_plan(rows, weights, max_epochs)
-    names = plan.columns
-    plan = small(plan.select(F.struct(*names).alias("_mix_plan_")))
+    plan = small(plan.select(F.struct(*plan.columns).alias("_mix_plan_")))
     chosen = docs.join(plan, F.col("source").eqNullSafe(F.col("_mix_plan_.of")))
+    full, part = repetitions(_order(seed), "_mix_plan_.")
     return (
-        chosen.withColumn("_mix_times_", repetitions(_order(seed), "_mix_plan_."))
+        chosen.withColumn("_mix_times_", (full + (part >= 0.5).cast("long")).cast("int"))
         .filter("_mix_times_ > 0")
-        .withColumn("_mix_copy_", F.explode(F.sequence(F.lit(1), F.col("_mix_times_").cast("int"))))
+        .withColumn("_mix_copy_", F.explode(F.sequence(F.lit(1), F.col("_mix_times_"))))
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
