@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import mixing, sharding, urls
+from tidemart.llm import jaccard, mixing, sharding, urls
 from tidemart.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op1_sharding(spark, root):
     )
 
 
+@query
+def op2_ngram_jaccard(spark, root):
+    return jaccard.jaccard_components(read(spark, root, "documents", "doc_id", "text"), k=4, percent=85)
+
+
 @query
 def op5_url_filters(spark, root):
     return urls.judge_pages(read(spark, root, "pages", "page_id", "url"), urls.RULES)
