@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import jaccard, mixing, sharding, urls
+from tidemart.llm import jaccard, mixing, rules, sharding, urls
 from tidemart.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,16 @@ def op2_ngram_jaccard(spark, root):
     return jaccard.jaccard_components(read(spark, root, "documents", "doc_id", "text"), k=4, percent=85)
 
 
+@query
+def op4_quality_rules(spark, root):
+    rows = rules.ledger(read(spark, root, "documents", "doc_id", "text"))
+    base, verdict = rules.fails(rules.POLICIES["base"]), rules.fails(rules.POLICIES["v1"])
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        base.alias("base_failed"), (~base & ~verdict).alias("kept"), "failed",
+    )
+
+
 @query
 def op5_url_filters(spark, root):
     return urls.judge_pages(read(spark, root, "pages", "page_id", "url"), urls.RULES)
