@@ -262,8 +262,8 @@ def open_pairs(docs: DataFrame, nodes: DataFrame, groups: DataFrame, pairs: Data
     needed = write_shared(
         groups.join(opened, "gid", "left_semi").select("rid", "gid").join(nodes.drop("lead"), "rid"), "opened-classes"
     )
-    ids = small(needed.select(F.col("doc_id").alias("needed_id")).distinct())
-    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("needed_id")), "left_semi")
+    ids = small(needed.select(F.col("doc_id").alias("_needed_id_")).distinct())
+    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_needed_id_")), "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -352,7 +352,7 @@ def jaccard_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def _same_row(doc_id: Column, text_hash: Column, side: str) -> Column:
-    return doc_id.eqNullSafe(F.col(f"{side}_id")) & text_hash.eqNullSafe(F.col(f"{side}_hash"))
+    return doc_id.eqNullSafe(F.col(f"_{side}_id_")) & text_hash.eqNullSafe(F.col(f"_{side}_hash_"))
 
 
 def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -369,7 +369,7 @@ def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
         .withColumn("kept", rank.eqNullSafe(F.col("best"))),
         "kept-of-each",
     )
-    keys = [F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")]
+    keys = [F.col("doc_id").alias("_of_id_"), F.col("text_hash").alias("_of_hash_")]
     here = _same_row(F.col("doc_id"), F.xxhash64("text"), "of")
     out = docs.join(small(judged.filter("not kept").select(*keys).distinct()), here, "left_anti")
     again = judged.filter("kept and rows > 1").select(*keys)

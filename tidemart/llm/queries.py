@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import jaccard, mixing, rules, sharding, urls
-from tidemart.llm.common import read
+from tidemart.llm import decontamination, jaccard, mixing, quality, rules, sharding, urls
+from tidemart.llm.common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,15 @@ def op2_ngram_jaccard(spark, root):
     return jaccard.jaccard_components(read(spark, root, "documents", "doc_id", "text"), k=4, percent=85)
 
 
+@query
+def op3_quality_classifier(spark, root):
+    apart = held_out(F.col("doc_id"), 3, 1)
+    scored = quality.quality_scores(
+        read(spark, root, "documents", "doc_id", "text"), read(spark, root, "labels", "doc_id", "quality"), ~apart
+    )
+    return scored.select("doc_id", apart.alias("held_out"), "score", "predicted")
+
+
 @query
 def op4_quality_rules(spark, root):
     rows = rules.ledger(read(spark, root, "documents", "doc_id", "text"))
@@ -60,6 +69,14 @@ def op5_url_filters(spark, root):
     return urls.judge_pages(read(spark, root, "pages", "page_id", "url"), urls.RULES)
 
 
+@query
+def op6_decontamination(spark, root):
+    found = decontamination.contaminated(
+        read(spark, root, "documents", "doc_id", "text"), read(spark, root, "benchmark", "item_id", "text")
+    )
+    return found.drop("text_hash")
+
+
 @query
 def op7_mixing(spark, root):
     docs = read(spark, root, "documents", "doc_id", "text", "source")
