@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import decontamination, jaccard, mixing, quality, rules, sharding, urls
+from tidemart.llm import decontamination, jaccard, mixing, quality, rules, sharding, toxicity, urls
 from tidemart.llm.common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,15 @@ def op6_decontamination(spark, root):
 def op7_mixing(spark, root):
     docs = read(spark, root, "documents", "doc_id", "text", "source")
     return mixing.mix_counts(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op9_toxicity(spark, root):
+    apart = held_out(F.col("doc_id"), 5, 0)
+    scored = toxicity.toxicity(
+        read(spark, root, "documents", "doc_id", "text"), read(spark, root, "labels", "doc_id", "toxic"), ~apart
+    )
+    return scored.select(
+        "doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "n_sentences", "offending",
+    )

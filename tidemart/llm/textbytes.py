@@ -62,12 +62,13 @@ class Texts:
 
 @dataclass(frozen=True)
 class Words:
-    """Words of some texts: byte ranges, hashes, and the first word of each text."""
+    """Words of some texts: byte ranges, hashes, the first word of each text, hashes of prefixes."""
 
     start: np.ndarray
     end: np.ndarray
     hashes: np.ndarray
     bounds: np.ndarray
+    prefixes: np.ndarray
 
 
 def texts_of(column: pa.Array, chunk: int = CHUNK) -> Iterator[Texts]:
@@ -103,10 +104,11 @@ def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return start, end, np.searchsorted(start, offsets)
 
 
-def words_of(texts: Texts, inside: np.ndarray | None = None) -> Words:
+def words_of(texts: Texts, inside: np.ndarray | None = None, prefixes: tuple[int, ...] = ()) -> Words:
     """Words (runs of ``inside``, by default of anything but white space) and their hashes.
 
     Hashes are those of a polynomial over the bytes, from prefix sums: A-Z equals a-z.
+    ``prefixes`` asks for hashes of the words' first bytes too, one row for each number.
     """
     if inside is None:
         inside = ~SPACE[texts.data]
@@ -114,7 +116,12 @@ def words_of(texts: Texts, inside: np.ndarray | None = None) -> Words:
     power, inverse = _grown(len(texts.data) + 1)
     sums = np.zeros(len(texts.data) + 1, np.uint64)
     np.cumsum(_BYTE[texts.data] * power[: len(texts.data)], out=sums[1:])
-    return Words(start, end, mixed((sums[end] - sums[start]) * inverse[start]), bounds)
+
+    def hashed(until: np.ndarray, salt: int) -> np.ndarray:
+        return mixed((sums[until] - sums[start]) * inverse[start] + np.uint64(salt))
+
+    heads = np.array([hashed(np.minimum(end, start + n), n) for n in prefixes], np.uint64)
+    return Words(start, end, hashed(end, 0), bounds, heads)
 
 
 def shingle_sets(words: Words, k: int) -> Iterator[np.ndarray]:
