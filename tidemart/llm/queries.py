@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import decontamination, jaccard, mixing, quality, rules, sharding, toxicity, urls
+from tidemart.llm import decontamination, jaccard, langid, mixing, quality, rules, sharding, toxicity, urls
 from tidemart.llm.common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,14 @@ def op7_mixing(spark, root):
     return mixing.mix_counts(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op8_language_id(spark, root):
+    apart = held_out(F.col("doc_id"), 5, 0)
+    docs = read(spark, root, "documents", "doc_id", "text", "lang")
+    found = langid.languages(docs.select("doc_id", "text"), docs.select("doc_id", "lang"), ~apart)
+    return found.select("doc_id", apart.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op9_toxicity(spark, root):
     apart = held_out(F.col("doc_id"), 5, 0)
