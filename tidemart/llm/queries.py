@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import decontamination, jaccard, langid, mixing, quality, rules, sharding, toxicity, urls
+from tidemart.llm import decontamination, jaccard, langid, mixing, quality, rules, sharding, tokencounts, toxicity, urls
 from tidemart.llm.common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,8 @@ def op9_toxicity(spark, root):
         "doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "n_sentences", "offending",
     )
+
+
+@query
+def op10_token_counts(spark, root):
+    return tokencounts.count_and_redact(read(spark, root, "documents", "doc_id", "text"))
