@@ -1,0 +1,68 @@
+from collections import Counter, defaultdict
+
+import pytest
+
+from tidemart.llm import mixing
+
+
+def _water_fill(sizes, weights=(5, 2, 1), epochs=3):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    left, free, target = float(sum(sizes.values())), set(sizes), {}
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = {s for s in free if weight[s] * level > epochs * sizes[s]}
+        if not over:
+            target.update({s: weight[s] * level for s in free})
+            break
+        for s in over:
+            target[s] = epochs * sizes[s]
+            left -= target[s]
+        free -= over
+    return target
+
+
+ROWS = (
+    [(i, "w " * (1 + i % 9), None, "a") for i in range(60)]
+    + [(100 + i, "w " * 40, None, "b") for i in range(30)]
+    + [(None, "x y z", None, None)] * 5
+    + [(200, None, None, "c"), (201, "", None, "c"), (202, "one", None, "d"), (202, "one", None, "d")]
+    + [(300 + i, "q " * 500, None, "e") for i in range(4)]
+)
+
+
+def test_targets_and_taken(frame):
+    got = mixing.mix_counts(frame(ROWS)).collect()
+    assert len(got) == len(ROWS)
+    sizes, taken, target = defaultdict(int), defaultdict(int), {}
+    for r in got:
+        sizes[r["source"]] += r["size"]
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        assert 0 <= r["taken"] <= 3 * r["size"]
+    assert sum(sizes.values()) == sum(len((t or "").split()) for _, t, _, _ in ROWS)
+    for s, want in _water_fill(dict(sizes)).items():
+        assert target[s] == pytest.approx(want)
+        # Rows equal in id and text round together.
+        assert abs(taken[s] - want) <= 3
+
+
+def test_reruns_agree(frame):
+    docs = frame(ROWS)
+    one, two = (Counter((r["doc_id"], r["taken"]) for r in mixing.mix_counts(d).collect()) for d in (docs, docs.repartition(5)))
+    assert one == two
+
+
+def test_documents_repeat_as_counted(frame):
+    docs = frame(ROWS)
+    out = mixing.mix_documents(docs)
+    assert out.columns == docs.columns
+    times = Counter((r["doc_id"], r["text"]) for r in out.collect())
+    for r in mixing.mix_counts(docs).filter("doc_id between 0 and 150").collect():
+        text = next(t for i, t, *_ in ROWS if i == r["doc_id"])
+        assert times[(r["doc_id"], text)] == r["full"] + (r["part"] >= 0.5)
+
+
+def test_empty(frame):
+    assert mixing.mix_counts(frame([])).collect() == []
+    assert mixing.mix_documents(frame([])).collect() == []
