@@ -70,7 +70,8 @@ class Network:
         return np.maximum(top + self.bias, 0)
 
     def probabilities(self, windows: np.ndarray) -> np.ndarray:
-        return softmax(self.pooled(windows) @ self.dense + self.offset)
+        # Row by row, not by a matrix product, so that equal texts get equal scores.
+        return softmax((self.pooled(windows)[:, :, None] * self.dense).sum(axis=1) + self.offset)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -151,13 +152,12 @@ def cut(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
 def text_probabilities(net: Network, texts: textbytes.Texts) -> np.ndarray:
     """Mean probabilities over each text's windows; 0 for texts without bytes."""
     start, length, bounds = windows_of(texts)
-    sums = np.zeros((len(start) + 1, len(net.offset)))
+    found = np.zeros((len(start), len(net.offset)))
     for at in range(0, len(start), WINDOWS_AT_ONCE):
         part = slice(at, at + WINDOWS_AT_ONCE)
         p = net.probabilities(cut(texts.data, start[part], length[part]))
-        sums[at + 1 : at + 1 + len(p)] = p * length[part, None]
-    sums = np.cumsum(sums, axis=0)
-    return (sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(np.diff(texts.offsets), 1)[:, None]
+        found[part] = p * length[part, None]
+    return textbytes.segment_sums(found, bounds) / np.maximum(np.diff(texts.offsets), 1)[:, None]
 
 
 def has_letter(texts: textbytes.Texts) -> np.ndarray:

@@ -4,7 +4,64 @@ from __future__ import annotations
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 _statements = {
+    "op2_ngram_jaccard": rf"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN [array_to_string(w[i : i + 3], ' ') FOR i IN range(1, len(w) - 2)]
+                                                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+            FROM texts
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), shared AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id != b.doc_id GROUP BY 1, 2
+        ), links AS (
+            SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+            WHERE 100 * k >= 85 * (p.n + q.n - k)
+        ), reached AS (
+            SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y
+        ), least AS (
+            SELECT x, min(y) AS y FROM reached GROUP BY x
+        )
+        SELECT t.doc_id, coalesce(z.n, 0) AS n_shingles, least(t.doc_id, coalesce(l.y, t.doc_id)) AS component_id
+        FROM texts t LEFT JOIN sizes z USING (doc_id) LEFT JOIN least l ON l.x = t.doc_id
+    """,
+    "op4_quality_rules": rf"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents
+        ), lines AS (
+            SELECT r, [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS l FROM texts
+        ), windows AS (
+            SELECT r, unnest([{{'i': i, 's': array_to_string(w[i : i + 2], ' ')}} FOR i IN range(1, len(w) - 1)]) AS x
+            FROM texts WHERE len(w) >= 3
+        ), counted AS (
+            SELECT r, x.i AS i, count(*) OVER (PARTITION BY r, x.s) AS n FROM windows
+        ), places AS (
+            SELECT DISTINCT r, unnest([i, i + 1, i + 2]) AS p FROM counted WHERE n > 1
+        ), repeated AS (
+            SELECT r, count(*) AS n FROM places GROUP BY r
+        ), measured AS (
+            SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                   len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(l) AS n_lines,
+                   len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+                   len(regexp_extract_all(t, '\p{{Lu}}')) AS n_upper, len(regexp_extract_all(t, '\p{{L}}')) AS n_letters
+            FROM texts JOIN lines USING (r) LEFT JOIN repeated USING (r)
+        ), judged AS (
+            SELECT *, n_words < 50 AS f0, 100 * n_repeat_words > 50 * n_words AS f1, 100 * n_symbols > 20 * n_words AS f2,
+                   100 * n_dup_lines > 50 * n_lines AS f3, word_chars < 2 * n_words OR word_chars > 15 * n_words AS f4,
+                   100 * n_upper > 60 * n_letters AS f5
+            FROM measured
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f0 OR f1 AS base_failed,
+               NOT (f0 OR f1 OR f2 OR f3 OR f4 OR f5) AS kept,
+               f0::BIGINT + 2 * f1::BIGINT + 4 * f2::BIGINT + 8 * f3::BIGINT + 16 * f4::BIGINT + 32 * f5::BIGINT AS failed
+        FROM judged
+    """,
     "op5_url_filters": r"""
         WITH parts AS (
             SELECT page_id,

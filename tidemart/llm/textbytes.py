@@ -151,3 +151,12 @@ def _distinct(values: np.ndarray) -> np.ndarray:
     keep = np.ones(len(values), bool)
     np.not_equal(values[1:], values[:-1], out=keep[1:])
     return values[keep]
+
+
+def segment_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of values[bounds[i] : bounds[i + 1]]; the result for a segment depends on it alone."""
+    out = np.zeros((len(bounds) - 1, *values.shape[1:]), values.dtype)
+    some = np.flatnonzero(np.diff(bounds))
+    if len(some):
+        out[some] = np.add.reduceat(values[: bounds[-1]], bounds[some])
+    return out

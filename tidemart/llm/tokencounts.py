@@ -234,7 +234,7 @@ def recount(docs: DataFrame, trees: DataFrame, edits: DataFrame, vocabulary: str
     not read; one document's edits are handled together.
     """
     make = _sent(docs.sparkSession, vocabulary)
-    change = F.struct(*[F.col(c).cast("long" if c != "new" else "string") for c in ("start", "stop", "new")])
+    change = F.struct(*[F.col(c).cast("long" if c != "new" else "string").alias(c) for c in ("start", "stop", "new")])
     valid = F.col("start").isNotNull() & F.col("stop").isNotNull()
     lists = edits.filter(valid).groupBy("doc_id").agg(F.collect_list(change).alias("edits"))
     rows = trees.join(lists, "doc_id").join(docs.select("doc_id", "text"), "doc_id")

@@ -91,8 +91,8 @@ class Model:
 
 def noisy_or(p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """1 - product of (1 - p) over each text's sentences."""
-    sums = np.r_[0.0, np.cumsum(np.log1p(-np.minimum(p, 1 - 1e-12)))]
-    return np.clip(-np.expm1(sums[bounds[1:]] - sums[bounds[:-1]]), 0.0, 1.0)
+    none = textbytes.segment_sums(np.log1p(-np.minimum(p, 1 - 1e-12)), bounds)
+    return np.clip(-np.expm1(none), 0.0, 1.0)
 
 
 def fit(bags: list[Sentences], y: np.ndarray, shares: tuple[float, float]) -> Model:
