@@ -237,7 +237,7 @@ def recount(docs: DataFrame, trees: DataFrame, edits: DataFrame, vocabulary: str
     change = F.struct(*[F.col(c).cast("long" if c != "new" else "string").alias(c) for c in ("start", "stop", "new")])
     valid = F.col("start").isNotNull() & F.col("stop").isNotNull()
     lists = edits.filter(valid).groupBy("doc_id").agg(F.collect_list(change).alias("edits"))
-    rows = trees.join(lists, "doc_id").join(docs.select("doc_id", "text"), "doc_id")
+    rows = trees.select("doc_id", "leaf_chars", "leaf_tokens").join(lists, "doc_id").join(docs.select("doc_id", "text"), "doc_id")
 
     def update(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = make()
