@@ -1,6 +1,7 @@
 """Landing files and staging: header generations, reruns, late files, arrivals."""
 
 import datetime as dt
+import os
 from decimal import Decimal
 from pathlib import Path
 
@@ -11,7 +12,7 @@ from tidemart import schemas
 from tidemart.operators.cleaning import clean_log
 from tidemart.plans.daily_load import load_day, load_days, load_fact, rebuild_retention
 from tidemart.session import fresh_path, release_written, shared_folder
-from tidemart.sources.landing import file_prefix, read_csv, read_staged
+from tidemart.sources.landing import day_of, file_prefix, read_csv, read_staged
 from tidemart.sources.tables import save_mart
 from tidemart.streaming.ingest import catch_up_days, ingest_arrivals, ingest_bulk, ingest_days
 
@@ -96,6 +97,60 @@ def test_arrivals_and_late_files(spark, feed, tmp_path):
     assert len(amounts(spark, staging)) == 6
 
 
+def test_old_rewritten_and_removed_files_are_seen(spark, feed, tmp_path):
+    staging, state = str(tmp_path / "staging"), str(tmp_path / "state")
+    ingest_arrivals(spark, str(feed), staging, TARGET, state)
+    # A new day's file that is a month old.
+    land(feed, "plain", "2023-11-30", [row("2023-11-30", "3.00")])
+    old = feed / "plain" / "dt=2023-11-30" / "part-0.csv"
+    month_ago = old.stat().st_mtime - 30 * 86_400
+    os.utime(old, (month_ago, month_ago))
+    # A file rewritten under its own name.
+    land(feed, "plain", "2024-01-01", [row("2024-01-01", "99.00")])
+    ingest_arrivals(spark, str(feed), staging, TARGET, state)
+    assert amounts(spark, staging) == [
+        ("2023-11-30", 3.0), ("2024-01-01", 99.0), ("2024-01-02", -7.0), ("2024-01-02", 8.0),
+    ]
+    old.unlink()
+    land(feed, "status", "2024-01-02", [])
+    ingest_arrivals(spark, str(feed), staging, TARGET, state)
+    assert amounts(spark, staging) == [("2024-01-01", 99.0)]
+    (feed / "plain" / "stray.csv").write_text(COLUMNS + "\n")
+    with pytest.raises(ValueError, match="stray"):
+        ingest_arrivals(spark, str(feed), staging, TARGET, state)
+
+
+def test_files_named_by_day(spark, feed, tmp_path):
+    staging = str(tmp_path / "staging")
+    name = file_prefix(dt.date(2024, 1, 3)) + "user_order_log.csv"
+    (feed / "plain" / name).write_text("\n".join([COLUMNS, row("2024-01-03", "4.00")]) + "\n")
+    assert day_of(f"x/{name}") == "2024-01-03" and day_of("x/other.csv") is None
+    ingest_days(spark, str(feed), staging, TARGET, ["2024-01-03"])
+    assert amounts(spark, staging) == [("2024-01-03", 4.0)]
+    ingest_arrivals(spark, str(feed), staging, TARGET, str(tmp_path / "state"))
+    assert len(amounts(spark, staging)) == 5
+
+
+def test_emptied_day_is_emptied(spark, feed, tmp_path):
+    staging = str(tmp_path / "staging")
+    ingest_days(spark, str(feed), staging, TARGET)
+    land(feed, "status", "2024-01-02", [])
+    assert ingest_days(spark, str(feed), staging, TARGET, ["2024-01-02"])
+    assert [d for d, _ in amounts(spark, staging)] == ["2024-01-01", "2024-01-01"]
+
+
+def test_csv_values_are_kept_or_rejected(spark, tmp_path):
+    def read(text, **options):
+        (tmp_path / "x.csv").write_text(text)
+        return [tuple(r) for r in read_csv(spark, [str(tmp_path / "x.csv")], **options).select("b").collect()]
+
+    assert read('a,b\n1,"x\ny"\n2,z\n') == [("x\ny",), ("z",)]
+    assert read('a,b\n1,"x"\n', multi_line=False) == [("x",)]
+    for bad in ("1,2,3", "1"):
+        with pytest.raises(Exception, match="(?i)malformed|reading"):
+            read(f"a,b\n{bad}\n")
+
+
 def test_bulk_history_then_increment(spark, feed, tmp_path):
     staging = str(tmp_path / "staging")
     lines = [row(f"2023-12-{d:02d}", "1.00") for d in (30, 31)]
@@ -138,7 +193,7 @@ def test_shared_folder_and_release(spark):
 
 def test_mart_rebuild_overwrites(spark, tmp_path):
     path = str(tmp_path / "mart")
-    target = schemas.schema_of("id integer")
+    target = schemas.columns(id=schemas.INT)
     save_mart(spark.range(5), path, target)
     save_mart(spark.range(2).withColumn("other", F.lit(1)), path, target)
     table = spark.read.parquet(path)
@@ -179,6 +234,14 @@ def test_daily_load_end_to_end(spark, feed, tmp_path):
     for _ in range(2):
         load_fact(spark, home, calendar, dt.date(2023, 12, 1), dt.date(2023, 12, 31))
         assert len(tables()["f_sales"]) == 8
+    # A day corrected to empty loses its fact rows.
+    land(feed, "status", "2024-01-02", [])
+    load_day(spark, str(feed), home, calendar, dt.date(2024, 1, 2))
+    assert len(tables()["f_sales"]) == 6
+    # A row later than its file's day is refused.
+    land(feed, "plain", "2024-01-04", [row("2024-01-05", "1.00")])
+    with pytest.raises(Exception, match="later than its file"):
+        load_day(spark, str(feed), home, calendar, dt.date(2024, 1, 4))
 
 
 def test_staged_day_filter_prunes_folders(spark, feed, tmp_path, plan_of):

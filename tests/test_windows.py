@@ -91,9 +91,14 @@ def test_latest_per_key_and_ties(spark):
     rows = [(1, T(2024, 1, 1), 1, "a"), (1, T(2024, 1, 2), 2, "b"), (1, T(2024, 1, 2), 3, "c")]
     df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, id int, state string")
     assert [r.state for r in latest_per_key(df, ["k"], ["ts", "id"]).collect()] == ["c"]
-    for hot in (100, 0):
-        ties = latest_per_key(df, ["k"], ["ts"], keep_ties=True, hot_rows=hot)
-        assert sorted(r.state for r in ties.collect()) == ["b", "c"]
+    ties = latest_per_key(df, ["k"], ["ts"], keep_ties=True)
+    assert sorted(r.state for r in ties.collect()) == ["b", "c"]
+
+
+def test_null_key_counts_with_and_without_ties(spark):
+    df = spark.createDataFrame([(None, 1, 1), (None, 2, 2), (None, 2, 3), (4, 1, 4)], "k int, ts int, id int")
+    assert {r.id for r in latest_per_key(df, ["k"], ["ts", "id"]).collect()} == {3, 4}
+    assert {r.id for r in latest_per_key(df, ["k"], ["ts"], keep_ties=True).collect()} == {2, 3, 4}
 
 
 def test_latest_per_key_equals_self_join(posts):
@@ -105,11 +110,53 @@ def test_latest_per_key_equals_self_join(posts):
 
 
 def test_hot_keys_include_null(posts):
-    found = {r.user_id for r in hot_keys(posts, ["user_id"], 200).collect()}
-    assert found == {1, None}
-    assert hot_keys(posts, ["user_id"], 5000) is None
+    keys, rows = hot_keys(posts, ["user_id"], 200)
+    assert {r.user_id for r in keys.collect()} == {1, None}
+    assert rows == posts.filter("user_id = 1 or user_id is null").count()
+    assert hot_keys(posts, ["user_id"], 5000) == (None, 0)
     split = split_hot(posts, ["user_id"], 200)
-    assert split.rest.count() + split.hot.count() == posts.count()
+    assert split.rest.count() + split.hot.count() == posts.count() and split.hot.count() == split.rows
+
+
+def test_every_hot_key_is_split(spark):
+    """No cap on how many keys may be hot."""
+    df = spark.range(50_000).selectExpr("id % 25000 AS k", "id", "id AS v")
+    assert hot_keys(df, ["k"], 1)[0].count() == 25_000
+    got = running_total(df, ["k"], "id", "v", "t", hot_rows=1)
+    assert got.filter("t != CASE WHEN id < 25000 THEN id ELSE 2 * id - 25000 END").count() == 0
+
+
+def test_chunks_follow_the_hot_rows(spark):
+    from tidemart.operators.windows import _chunks
+
+    df = spark.range(20_000).selectExpr("1 AS k", "id")
+    assert _chunks(split_hot(df, ["k"], 1000), 1000) == 20
+
+
+def test_skew_join_rejects_what_it_cannot_do(spark):
+    many = spark.createDataFrame([(1,)] * 5 + [(2,)], "k int")
+    one = spark.createDataFrame([(1, "a"), (3, "b")], "k int, v string")
+    for how in ("right", "full", "outer"):
+        with pytest.raises(ValueError):
+            skew_join(many, one, ["k"], how, 2)
+    with pytest.raises(ValueError, match="unique"):
+        skew_join(many, one.union(one), ["k"], "inner", 2)
+    for how in ("left_semi", "left_anti"):
+        _same(skew_join(many, one, ["k"], how, 2), many.join(one, ["k"], how))
+
+
+def test_broadcast_is_bounded_in_bytes(spark):
+    from tidemart.operators.skew import fits_broadcast
+
+    wide = spark.range(10).selectExpr("repeat('x', 1000) AS t")
+    assert fits_broadcast(wide, max_bytes=20_000) and not fits_broadcast(wide, max_bytes=5_000)
+
+
+def test_reports_shuffle_the_log_once(spark, plan_of):
+    posts = adapters.posts_from_orders(spark, "/root/testdata/sf0.001")
+    for report in (activity.running_views, activity.second_last_month):
+        plan = plan_of(report(posts))
+        assert plan.split("== Initial Plan")[-1].count("Exchange\n") <= 2 and "hashpartitioning" not in plan
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -134,9 +181,6 @@ def test_reports_agree_when_every_user_is_hot(spark):
     posts = adapters.posts_from_orders(spark, "/root/testdata/sf0.001")
     for report in (activity.running_views, activity.second_last_month):
         _same(report(posts, hot_rows=5), report(posts))
-    people, types = adapters.users(spark, "/root/testdata/sf0.001"), adapters.post_types(spark)
-    split = activity.active_new_users(posts, people, types, 12, 2, hot_rows=3)
-    _same(split, activity.active_new_users(posts, people, types, 12, 2))
 
 
 def test_top_author_tie_goes_to_the_smallest_id(spark):

@@ -16,17 +16,16 @@ def surrogate_key(
     natural: Sequence[str],
     out: str,
     existing: DataFrame | None = None,
-    small_rows: int = 0,
 ) -> DataFrame:
     """Number the rows of ``df``, which is unique on ``natural``, in natural-key order.
 
     With ``existing`` (a dimension loaded before) only keys it lacks are
     returned, numbered after its highest id, so ids already given out never
-    change. ``small_rows`` is passed to ``global_row_number``.
+    change.
     """
     natural = list(natural)
     start = 1
     if existing is not None:
         df = null_safe_join(df, existing.select(*natural), natural, "left_anti")
         start += existing.agg(F.max(out)).first()[0] or 0
-    return global_row_number(df, [SortKey(k) for k in natural], out, start, small_rows)
+    return global_row_number(df, [SortKey(k) for k in natural], out, start)

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.session import in_parallel, write_shared
@@ -73,14 +73,17 @@ class Placed:
         return [(chunk, p - start) for chunk, start, p in found]
 
 
-def place_in_order(df: DataFrame, order: Sequence[SortKey | str], label: str) -> Placed:
+def place_in_order(
+    df: DataFrame, order: Sequence[SortKey | str], label: str, least_chunks: int = 1
+) -> Placed:
     """Sort ``df`` across the cluster and number its rows chunk by chunk.
 
     ``order`` must be total (end in a unique column) for a repeatable result.
-    There is one chunk per shuffle partition; a heavy key with distinct sort
-    values is spread over as many chunks as its share of the rows asks for.
+    There is one chunk per shuffle partition, or ``least_chunks`` if that is
+    more; a heavy key with distinct sort values is spread over as many chunks as
+    its share of the rows asks for.
     """
-    chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(least_chunks, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     columns = [k.column() for k in as_keys(order)]
     at = F.col("_at")
     sorted_rows = (
@@ -92,22 +95,15 @@ def place_in_order(df: DataFrame, order: Sequence[SortKey | str], label: str) ->
         .drop("_at")
     )
     written = write_shared(sorted_rows, label)
-    # One row per shuffle partition.
+    # One row per chunk.
     counts = written.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("n")).collect()
     return Placed(written, sorted((r[CHUNK], r["n"]) for r in counts))
 
 
 def global_row_number(
-    df: DataFrame, order: Sequence[SortKey | str], out: str, start: int = 1, small_rows: int = 0
+    df: DataFrame, order: Sequence[SortKey | str], out: str, start: int = 1
 ) -> DataFrame:
-    """Row numbers over the whole frame, counted from ``start``.
-
-    Where ``df`` is cheap to count, ``small_rows`` lets a frame of at most that
-    many rows be numbered by one window instead.
-    """
-    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
-        w = Window.orderBy(*[k.column() for k in as_keys(order)])
-        return df.withColumn(out, F.row_number().over(w).cast("bigint") + F.lit(start - 1))
+    """Row numbers over the whole frame, counted from ``start``."""
     placed = place_in_order(df, order, "row-number")
     if not placed.counts:
         return placed.rows.drop(CHUNK, PLACE).withColumn(out, F.lit(None).cast("bigint"))

@@ -16,13 +16,15 @@ def pivot_matrix(
 ) -> DataFrame:
     """One row per ``index`` date, one column per date in ``values``; labels are ``YYYY-MM-DD``.
 
-    Naming the columns up front avoids the extra job that would look for them.
+    Naming the columns up front avoids the extra job that would look for them. A
+    date that is not among them raises; nothing is left out silently.
     """
     labels = [d.isoformat() for d in values]
+    label = day_label(F.col(column))
+    unknown = F.raise_error(F.concat(F.lit(f"{column} has a value without a column: "), label))
+    checked = F.when(label.isNull() | label.isin(labels), label).otherwise(unknown)
     return (
-        df.select(
-            day_label(F.col(index)).alias(index), day_label(F.col(column)).alias(column), value
-        )
+        df.select(day_label(F.col(index)).alias(index), checked.alias(column), value)
         .groupBy(index)
         .pivot(column, labels)
         .agg(F.first(value))

@@ -9,22 +9,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.session import write_shared
+
 # A key is hot when it holds more rows than one task should sort.
 HOT_ROWS = 2_000_000
-# The hot list is the largest keys above that mark, never more than this many.
-# A key left out of a full list holds at most 1/20000 of all rows.
-HOT_KEYS = 20_000
-# Row bound under which a derived side may be broadcast.
+# A derived side may be broadcast up to so many rows and bytes (as JSON text).
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
 class HotSplit:
-    """Rows of hot keys apart from the rest; ``hot`` is None when no key is hot."""
+    """Rows of hot keys apart from the rest; ``hot`` is None when no key is hot.
+
+    ``keys`` is a written table of the hot keys, ``rows`` the number of their rows.
+    """
 
     rest: DataFrame
     hot: DataFrame | None = None
     keys: DataFrame | None = None
+    rows: int = 0
 
 
 def null_safe_join(
@@ -41,37 +45,35 @@ def null_safe_join(
     return joined.drop(*[f"_right_{k}" for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The keys with more than ``min_rows`` rows, as a small local frame.
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> tuple[DataFrame | None, int]:
+    """All keys with more than ``min_rows`` rows, as a written table, and how many rows they have.
 
     Counts are combined before the shuffle, so the probe moves one row per key
-    and task. At most ``HOT_KEYS`` rows reach the driver; fixing the list there
-    keeps every later use of it identical.
+    and task. Writing the list keeps every later use of it identical.
     """
-    heavy = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > min_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys)
-    )
-    found = heavy.collect()
-    return df.sparkSession.createDataFrame(found, heavy.schema) if found else None
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    heavy = write_shared(counts.filter(F.col("_rows") > min_rows), "hot-keys")
+    rows = heavy.agg(F.sum("_rows")).first()[0]
+    return (heavy.select(*keys), rows) if rows else (None, 0)
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> HotSplit:
     """Separate the rows of hot keys from all others."""
-    hot = hot_keys(df, keys, min_rows)
+    hot, rows = hot_keys(df, keys, min_rows)
     if hot is None:
         return HotSplit(df)
+    small = fits_broadcast(hot)
     return HotSplit(
-        null_safe_join(df, hot, keys, "left_anti", small=True),
-        null_safe_join(df, hot, keys, "left_semi", small=True),
+        null_safe_join(df, hot, keys, "left_anti", small=small),
+        null_safe_join(df, hot, keys, "left_semi", small=small),
         hot,
+        rows,
     )
 
 
+SKEW_JOINS = ("inner", "left", "left_semi", "left_anti")
+
+
 def skew_join(
     many: DataFrame,
     one: DataFrame,
@@ -82,21 +84,37 @@ def skew_join(
     """Join a large side to a side that is unique on ``keys``.
 
     Rows of hot keys meet a broadcast of just those keys' partners (as few rows
-    as there are hot keys); everything else is an ordinary shuffle join.
+    as there are hot keys); everything else is an ordinary shuffle join. Raises
+    if a hot key has several partners, and for joins that keep unmatched rows
+    of ``one``, which the two parts could not tell apart.
     """
+    if how not in SKEW_JOINS:
+        raise ValueError(f"skew_join does {', '.join(SKEW_JOINS)}, not {how}")
     keys = list(keys)
     split = split_hot(many, keys, min_rows)
     joined = split.rest.join(one, keys, how)
     if split.hot is None:
         return joined
-    partners = one.join(F.broadcast(split.keys), keys, "left_semi")
-    return joined.unionByName(split.hot.join(F.broadcast(partners), keys, how))
+    partners = write_shared(one.join(split.keys, keys, "left_semi"), "hot-partners")
+    if partners.groupBy(*keys).count().filter("count > 1").limit(1).count():
+        raise ValueError(f"the second side is not unique on {', '.join(keys)}")
+    partners = F.broadcast(partners) if fits_broadcast(partners) else partners
+    return joined.unionByName(split.hot.join(partners, keys, how))
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether a frame is small in rows and bytes. Looks at ``max_rows + 1`` rows at most."""
+    size = F.length(F.to_json(F.struct(*df.columns)))
+    rows, held = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return rows <= max_rows and held <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; a larger side keeps its shuffle join.
+    """Hint a broadcast only after measuring; a larger side keeps its shuffle join.
 
-    The count stops at ``max_rows + 1`` rows. Meant for written or otherwise
-    cheap tables; plain files are left to Spark's own size estimate.
+    Meant for written or otherwise cheap tables; plain files are left to Spark's own
+    size estimate.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df

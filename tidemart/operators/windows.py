@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.numeric import percent, percent_change
 from tidemart.operators.ordering import CHUNK, PLACE, place_in_order
-from tidemart.operators.skew import HOT_ROWS, null_safe_join, skew_join, split_hot
+from tidemart.operators.skew import HOT_ROWS, HotSplit, fits_broadcast, null_safe_join, split_hot
+from tidemart.session import write_shared
 
 
 def latest_per_key(
@@ -22,25 +23,41 @@ def latest_per_key(
     keys: Sequence[str],
     order: Sequence[str],
     keep_ties: bool = False,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The last row of each key along ``order``.
 
     One row per key: ``order`` should be total, and the maximum is combined
     before the shuffle, so a heavy key costs one row per task. ``keep_ties``
-    returns every row that shares the last value of ``order``, however many; rows
-    of a NULL key are then left out.
+    returns every row that shares the last value of ``order``, however many; a
+    heavy key is then split by adaptive skew handling. NULL counts as a key.
     """
     keys, order = list(keys), list(order)
     if keep_ties:
         last = df.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_last"))
-        tied = skew_join(df, last, keys, min_rows=hot_rows)
+        tied = null_safe_join(df, last, keys)
         return tied.filter(F.struct(*order) == F.col("_last")).select(*df.columns)
     others = [c for c in df.columns if c not in keys and c not in order]
     last = F.max(F.struct(*order, *others)).alias("_last")
     return df.groupBy(*keys).agg(last).select(*keys, "_last.*").select(*df.columns)
 
 
+# Fewer rows than this are not worth a chunk of their own.
+LEAST_CHUNK = 500
+
+
+def _chunks(split: HotSplit, hot_rows: int) -> int:
+    """How many chunks the rows of hot keys need so that none is hot itself."""
+    return -(-split.rows // max(hot_rows, LEAST_CHUNK))
+
+
+def _by_key(df: DataFrame, keys: Sequence[str], ranged: bool) -> DataFrame:
+    """With ``ranged``, dealt out by ranges of the key (NULL last): a later sort that begins
+    with the key then needs no further shuffle."""
+    if not ranged:
+        return df
+    return df.repartitionByRange(*[F.col(k).asc_nulls_last() for k in keys])
+
+
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
@@ -48,26 +65,27 @@ def running_total(
     value: str,
     out: str,
     hot_rows: int = HOT_ROWS,
+    ranged: bool = False,
 ) -> DataFrame:
     """Sum of ``value`` up to and including each row; rows tied on ``order`` share one total."""
     keys = list(keys)
     split = split_hot(df, keys, hot_rows)
     w = Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_first())
-    result = split.rest.withColumn(out, F.sum(value).over(w))
+    result = _by_key(split.rest, keys, ranged).withColumn(out, F.sum(value).over(w))
     if split.hot is None:
         return result
-    hot = _chunked_total(split.hot, keys, order, value, out)
+    hot = _chunked_total(split.hot, keys, order, value, out, _chunks(split, hot_rows))
     return result.unionByName(
         hot.withColumn(out, F.col(out).cast(result.schema[out].dataType))
     )
 
 
 def _chunked_total(
-    df: DataFrame, keys: list[str], order: str, value: str, out: str
+    df: DataFrame, keys: list[str], order: str, value: str, out: str, chunks: int
 ) -> DataFrame:
     # One step per tied group, so the sort key is unique and can be cut anywhere.
     steps = df.groupBy(*keys, order).agg(F.sum(value).alias("_step"))
-    placed = place_in_order(steps, [*keys, order], "running-total").rows
+    placed = place_in_order(steps, [*keys, order], "running-total", chunks).rows
     by_key = Window.partitionBy(*keys).orderBy(CHUNK)
     # One row per chunk and key in it: chunks + hot keys rows in all.
     carried = (
@@ -76,10 +94,11 @@ def _chunked_total(
         .withColumn("_carry", F.sum("_sum").over(by_key.rowsBetween(Window.unboundedPreceding, -1)))
         .drop("_sum")
     )
+    carried = write_shared(carried, "carried-totals")
     inside = Window.partitionBy(CHUNK, *keys).orderBy(PLACE)
     local = placed.withColumn("_local", F.sum("_step").over(inside))
     total = F.coalesce(F.col("_carry") + F.col("_local"), F.col("_carry"), F.col("_local"))
-    totals = null_safe_join(local, carried, [CHUNK, *keys], small=True).select(
+    totals = null_safe_join(local, carried, [CHUNK, *keys], small=fits_broadcast(carried)).select(
         *keys, order, total.alias(out)
     )
     return null_safe_join(df, totals, [*keys, order])
@@ -93,6 +112,7 @@ def lag_n(
     n: int,
     out: str,
     hot_rows: int = HOT_ROWS,
+    ranged: bool = False,
 ) -> DataFrame:
     """``value`` of the row ``n`` places earlier within the key, else NULL.
 
@@ -101,16 +121,17 @@ def lag_n(
     keys, order = list(keys), list(order)
     split = split_hot(df, keys, hot_rows)
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    result = split.rest.withColumn(out, F.lag(value, n).over(w))
+    result = _by_key(split.rest, keys, ranged).withColumn(out, F.lag(value, n).over(w))
     if split.hot is None:
         return result
-    return result.unionByName(_chunked_lag(split.hot, keys, order, value, n, out))
+    chunks = _chunks(split, hot_rows)
+    return result.unionByName(_chunked_lag(split.hot, keys, order, value, n, out, chunks))
 
 
 def _chunked_lag(
-    df: DataFrame, keys: list[str], order: list[str], value: str, n: int, out: str
+    df: DataFrame, keys: list[str], order: list[str], value: str, n: int, out: str, chunks: int
 ) -> DataFrame:
-    placed = place_in_order(df, [*keys, *order], "lag")
+    placed = place_in_order(df, [*keys, *order], "lag", chunks)
     # Each chunk borrows the n rows before its first one: at most n * chunks rows.
     wanted_by = [
         (position, chunk)

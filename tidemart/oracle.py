@@ -209,6 +209,13 @@ _ISO = "(isoyear(day) * 100 + week(day))::INT"
 
 
 def statements() -> dict[str, str]:
+    found = _statements()
+    for name in ("running_views", "second_last_month"):
+        found[f"{name}_skewed"] = found[name]
+    return found
+
+
+def _statements() -> dict[str, str]:
     return {
         "sample_rows": _with(
             " SELECT id, display_name, signup AS creation_date FROM people ORDER BY id LIMIT 10", "people"

@@ -25,7 +25,7 @@ from tidemart.functions.temporal import (
 )
 from tidemart.operators.cohorts import cohort_table
 from tidemart.operators.pivot import pivot_matrix
-from tidemart.operators.skew import HOT_ROWS, skew_join
+from tidemart.operators.skew import HOT_ROWS
 from tidemart.operators.windows import lag_n, pct_change, running_total, share_of_total
 
 SUM = "decimal(18,2)"
@@ -59,7 +59,6 @@ def active_new_users(
     min_posts: int = 100,
     post_type: str = ANSWER,
     per_user: bool = False,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Names whose posts of one type soon after sign-up number more than ``min_posts``.
 
@@ -75,11 +74,14 @@ def active_new_users(
         F.col("creation_date").alias("_from"),
         months_later(F.col("creation_date"), months).cast("timestamp_ntz").alias("_to"),
     )
-    early = skew_join(wanted, people, ["user_id"], min_rows=hot_rows).filter(
-        F.col("creation_date").between(F.col("_from"), F.col("_to"))
+    # A very active author's rows are left to adaptive skew splitting of this join.
+    at = F.col("creation_date")
+    instants = wanted.groupBy("user_id", at).agg(F.count(F.lit(1)).alias("_n"))
+    early = instants.join(people.drop("creation_date"), "user_id").filter(
+        at.between(F.col("_from"), F.col("_to"))
     )
     # Per user first: the name groups then add up a few rows per user.
-    counts = early.groupBy("display_name", "user_id").agg(F.count(F.lit(1)).alias("_posts"))
+    counts = early.groupBy("display_name", "user_id").agg(F.sum("_n").alias("_posts"))
     if per_user:
         counts = counts.filter(F.col("_posts") > min_posts)
     names = counts.groupBy("display_name").agg(
@@ -128,7 +130,7 @@ def running_views(posts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every post with its author's views so far."""
     rows = posts.select("user_id", "creation_date", "views_count")
     total = running_total(
-        rows, ["user_id"], "creation_date", "views_count", "cumulative_count", hot_rows
+        rows, ["user_id"], "creation_date", "views_count", "cumulative_count", hot_rows, ranged=True
     )
     return total.withColumn("cumulative_count", F.col("cumulative_count").cast(SUM)).orderBy(
         F.col("user_id").asc_nulls_last(), F.col("creation_date").asc_nulls_last()
@@ -178,7 +180,7 @@ def second_last_month(
     """Every post with the month name of its author's post two before it."""
     rows = posts.select("user_id", "creation_date", "id")
     lagged = lag_n(
-        rows, ["user_id"], ["creation_date", "id"], "creation_date", 2, "_before", hot_rows
+        rows, ["user_id"], ["creation_date", "id"], "creation_date", 2, "_before", hot_rows, ranged=True
     )
     return lagged.select(
         "user_id", "creation_date", month_name(F.col("_before"), width).alias("second_last_month")

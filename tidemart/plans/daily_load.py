@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart import schemas
+from tidemart.operators.cleaning import clean_log
 from tidemart.plans import retail
 from tidemart.session import in_parallel
 from tidemart.sources.landing import DAY, read_staged, stage_days
@@ -30,6 +31,13 @@ _DIMS = {
 }
 
 
+def _clean(log: DataFrame) -> DataFrame:
+    """The cleaned log, in which a row later than its file's day raises."""
+    late = F.to_date("date_time") > F.to_date(DAY)
+    unfit = F.raise_error(F.concat(F.lit("a row is later than its file's day "), F.col(DAY)))
+    return clean_log(log).withColumn(DAY, F.when(late, unfit).otherwise(F.col(DAY)))
+
+
 def load_day(
     spark: SparkSession, feed: str, warehouse: str, calendar: DataFrame, day: dt.date
 ) -> None:
@@ -47,7 +55,7 @@ def load_days(
     which ``load_fact`` brings in.
     """
     target = schemas.USER_ORDER_LOG
-    if not ingest_days(spark, feed, f"{warehouse}/{STAGING}", target, days):
+    if not ingest_days(spark, feed, f"{warehouse}/{STAGING}", target, days, clean=_clean):
         return
     log = read_staged(spark, f"{warehouse}/{STAGING}", target).filter(F.col(DAY).isin(list(days)))
 
@@ -68,12 +76,16 @@ def load_fact(
 
     Staging is kept by the day of the file, the fact by the day of the row, so
     rows that came late or with a history export are found in whichever file
-    brought them. The range is a pushed filter on the row's time.
+    brought them. A row is never later than its file's day (``load_days`` raises on
+    one), so folders before ``first`` are not opened. Days of the range without rows
+    are emptied.
     """
     log = read_staged(spark, f"{warehouse}/{STAGING}", schemas.USER_ORDER_LOG)
+    log = log.filter(F.col(DAY) >= first.isoformat())
     dated = log.withColumn(DAY, F.to_date("date_time").cast("string"))
     fact = retail.fact_sales(dated, calendar, first, last, DAY)
-    stage_days(fact, f"{warehouse}/mart/f_sales", by_day=False)
+    days = [(first + dt.timedelta(days=n)).isoformat() for n in range((last - first).days + 1)]
+    stage_days(fact, f"{warehouse}/mart/f_sales", by_day=False, days=days)
 
 
 def rebuild_retention(spark: SparkSession, warehouse: str, iso_period: bool = False) -> None:

@@ -18,7 +18,7 @@ from tidemart.functions.numeric import percent
 from tidemart.functions.temporal import full_days
 from tidemart.functions.text import split_fields
 from tidemart.operators.keys import surrogate_key
-from tidemart.operators.windows import latest_per_key
+from tidemart.operators.skew import null_safe_join
 from tidemart.schemas import (
     SHIPPING_AGREEMENT,
     SHIPPING_COUNTRY_RATES,
@@ -48,11 +48,6 @@ def description_counts(log: DataFrame) -> DataFrame:
     return log.groupBy(*DESCRIPTIONS).agg(F.count(F.lit(1)).alias(LOG_ROWS))
 
 
-def _small(log: DataFrame) -> int:
-    """How many dimension rows may be numbered in one task; counting is cheap on the counts frame."""
-    return 10_000 if LOG_ROWS in log.columns else 0
-
-
 def shipping_dims(log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Countries, agreements and transfers as written tables, from one pass over the log."""
     texts = write_shared(description_counts(log), "descriptions")
@@ -69,7 +64,7 @@ def dim_country_rates(log: DataFrame, existing: DataFrame | None = None) -> Data
     """Distinct (country, base rate) pairs with an id."""
     natural = ["shipping_country", "shipping_country_base_rate"]
     pairs = log.select(*natural).distinct()
-    numbered = surrogate_key(pairs, natural, "shipping_country_id", existing, _small(log))
+    numbered = surrogate_key(pairs, natural, "shipping_country_id", existing)
     return conform(numbered, SHIPPING_COUNTRY_RATES)
 
 
@@ -111,7 +106,7 @@ def dim_transfer(log: DataFrame, existing: DataFrame | None = None) -> DataFrame
         .agg((F.sum("_sum") / F.sum("_count")).cast("decimal(14,3)").alias("shipping_transfer_rate"))
     )
     numbered = surrogate_key(
-        rates, list(TRANSFER_FIELDS), "transfer_type_id", existing, _small(log)
+        rates, list(TRANSFER_FIELDS), "transfer_type_id", existing
     )
     return conform(numbered, SHIPPING_TRANSFER)
 
@@ -122,14 +117,14 @@ def shipping_info(log: DataFrame, countries: DataFrame, transfers: DataFrame) ->
     The country is looked up by name alone: a country with two rates yields one
     row per rate (``pk_violations`` on the country name shows such cases).
     """
-    agreement = split_fields(F.col("vendor_agreement_description"), {"agreementid": "bigint"})
-    facts = log.select(
-        "shippingid",
-        "vendorid",
-        "payment_amount",
-        "shipping_plan_datetime",
-        "shipping_country",
-        *agreement,
+    constant = ["shippingid", "vendorid", "payment_amount", "shipping_plan_datetime", "shipping_country"]
+    # One row per delivery is left when the texts are split; different texts may hold equal fields.
+    texts = log.select(
+        *constant, "vendor_agreement_description", "shipping_transfer_description"
+    ).distinct()
+    facts = texts.select(
+        *constant,
+        *split_fields(F.col("vendor_agreement_description"), {"agreementid": "bigint"}),
         *split_fields(F.col("shipping_transfer_description"), TRANSFER_FIELDS),
     ).distinct()
     transfer_ids = transfers.select("transfer_type_id", *TRANSFER_FIELDS)
@@ -155,13 +150,13 @@ def shipping_status(
     }
     marks = [column.alias(name) for name, column in times.items()]
     if keep_ties:
-        last = latest_per_key(
-            log.select("shippingid", "status", "state", "state_datetime"),
-            ["shippingid"],
-            ["state_datetime"],
-            keep_ties=True,
-        ).drop("state_datetime")
-        return last.join(log.groupBy("shippingid").agg(*marks), "shippingid")
+        # A NULL time is the last one only where there is no other.
+        last = log.groupBy("shippingid").agg(F.max("state_datetime").alias("_last"), *marks)
+        rows = log.select("shippingid", "status", "state", "state_datetime")
+        tied = null_safe_join(rows, last, ["shippingid"])
+        return tied.filter(F.col("state_datetime").eqNullSafe(F.col("_last"))).select(
+            "shippingid", "status", "state", *times
+        )
     last = F.max(F.struct("state_datetime", "id", "status", "state")).alias("_last")
     return (
         log.groupBy("shippingid")

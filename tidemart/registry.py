@@ -14,7 +14,7 @@ from tidemart.functions.temporal import month_starts
 from tidemart.operators import quality
 from tidemart.operators.cleaning import clean_log
 from tidemart.plans import activity, retail, rfm, shipping
-from tidemart.session import fresh_path, in_parallel
+from tidemart.session import fresh_path, in_parallel, write_shared
 from tidemart.sources import adapters
 from tidemart.sources.landing import (
     DAY,
@@ -113,6 +113,12 @@ def running_views(spark, root):
     return activity.running_views(adapters.posts_from_orders(spark, root))
 
 
+@query
+def running_views_skewed(spark, root):
+    """The same report with every busier user taken as a hot key."""
+    return activity.running_views(adapters.posts_from_orders(spark, root), hot_rows=12)
+
+
 @query
 def avg_daily_posts(spark, root):
     return activity.avg_daily_posts(
@@ -133,6 +139,12 @@ def second_last_month(spark, root):
     return activity.second_last_month(adapters.posts_from_orders(spark, root))
 
 
+@query
+def second_last_month_skewed(spark, root):
+    """The same report with every busier user taken as a hot key."""
+    return activity.second_last_month(adapters.posts_from_orders(spark, root), hot_rows=12)
+
+
 @query
 def cohort_retention(spark, root):
     return activity.cohort_retention(adapters.posts_from_orders(spark, root))
@@ -165,7 +177,8 @@ def top_author_weekly(spark, root):
 
 @query
 def user_activity(spark, root):
-    return activity.user_activity(running_views(spark, root), 14)
+    posts = activity.user_activity(adapters.posts_from_orders(spark, root), 14)
+    return activity.running_views(posts)
 
 
 # --- customer segments --------------------------------------------------------
@@ -238,7 +251,11 @@ def dim_transfer(spark, root):
 @query
 def shipping_info(spark, root):
     log = adapters.shipping_log(spark, root)
-    countries, _, transfers = shipping.shipping_dims(log)
+    texts = write_shared(shipping.description_counts(log), "descriptions")
+    countries, transfers = in_parallel(
+        lambda: write_shared(shipping.dim_country_rates(texts), "countries"),
+        lambda: write_shared(shipping.dim_transfer(texts), "transfers"),
+    )
     return shipping.shipping_info(log, countries, transfers)
 
 
@@ -268,7 +285,11 @@ def shipping_datamart(spark, root):
 
 @query
 def vendor_quality(spark, root):
-    return shipping.vendor_quality(shipping_info(spark, root), shipping_status(spark, root))
+    # Every delivery has its country and transfer in the dimensions made of the same log, so
+    # joining them would remove none.
+    log = adapters.shipping_log(spark, root)
+    deliveries = log.select("shippingid", "vendorid", "shipping_plan_datetime").distinct()
+    return shipping.vendor_quality(deliveries, shipping.shipping_status(log))
 
 
 # --- retail -------------------------------------------------------------------
@@ -373,7 +394,8 @@ def dim_customer(spark, root):
 
 def _fact(spark, root, first, last) -> DataFrame:
     log = clean_log(adapters.order_log(spark, root))
-    return retail.fact_sales(log, adapters.calendar(spark, root), first, last)
+    calendar = write_shared(adapters.calendar(spark, root), "calendar")
+    return retail.fact_sales(log, calendar, first, last)
 
 
 @query

@@ -4,74 +4,94 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DataType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+
+LONG, INT, STRING, TIME = LongType(), IntegerType(), StringType(), TimestampNTZType()
 
 
-def schema_of(columns: str) -> StructType:
-    """A schema from ``name type`` pairs; type names are those of Spark's JSON form."""
-    schema = StructType()
-    for pair in columns.split(", "):
-        schema.add(*pair.split(" "))
-    return schema
+def columns(**types: DataType) -> StructType:
+    """A schema of nullable columns in the order given."""
+    return StructType([StructField(name, kind) for name, kind in types.items()])
 
 
-POSTS = schema_of(
-    "id long, user_id long, creation_date timestamp_ntz, "
-    "views_count decimal(14,2), post_type_id string"
+POSTS = columns(
+    id=LONG, user_id=LONG, creation_date=TIME, views_count=DecimalType(14, 2),
+    post_type_id=STRING,
+)
+USERS = columns(
+    id=LONG, display_name=STRING, creation_date=TIME,
 )
-USERS = schema_of("id long, display_name string, creation_date timestamp_ntz")
 
-ORDERS = schema_of(
-    "user_id long, order_id long, order_ts timestamp_ntz, cost decimal(14,2), status integer"
+ORDERS = columns(
+    user_id=LONG, order_id=LONG, order_ts=TIME, cost=DecimalType(14, 2), status=INT,
+)
+RFM_SEGMENTS = columns(
+    user_id=LONG, recency=INT, frequency=INT, monetary_value=INT,
 )
-RFM_SEGMENTS = schema_of("user_id long, recency integer, frequency integer, monetary_value integer")
 
-SHIPPING_LOG = schema_of(
-    "id long, shippingid long, vendorid long, payment_amount decimal(14,2), "
-    "state_datetime timestamp_ntz, status string, state string, "
-    "shipping_plan_datetime timestamp_ntz, shipping_transfer_description string, "
-    "shipping_transfer_rate decimal(14,3), shipping_country string, "
-    "shipping_country_base_rate decimal(14,3), vendor_agreement_description string"
+SHIPPING_LOG = columns(
+    id=LONG, shippingid=LONG, vendorid=LONG, payment_amount=DecimalType(14, 2),
+    state_datetime=TIME, status=STRING, state=STRING, shipping_plan_datetime=TIME,
+    shipping_transfer_description=STRING, shipping_transfer_rate=DecimalType(14, 3),
+    shipping_country=STRING, shipping_country_base_rate=DecimalType(14, 3),
+    vendor_agreement_description=STRING,
 )
-SHIPPING_COUNTRY_RATES = schema_of(
-    "shipping_country_id long, shipping_country string, shipping_country_base_rate decimal(14,3)"
+SHIPPING_COUNTRY_RATES = columns(
+    shipping_country_id=LONG, shipping_country=STRING,
+    shipping_country_base_rate=DecimalType(14, 3),
 )
-SHIPPING_AGREEMENT = schema_of(
-    "agreementid long, agreement_number string, agreement_rate decimal(14,2), "
-    "agreement_commission decimal(14,3)"
+SHIPPING_AGREEMENT = columns(
+    agreementid=LONG, agreement_number=STRING, agreement_rate=DecimalType(14, 2),
+    agreement_commission=DecimalType(14, 3),
 )
-SHIPPING_TRANSFER = schema_of(
-    "transfer_type_id long, transfer_type string, transfer_model string, "
-    "shipping_transfer_rate decimal(14,3)"
+SHIPPING_TRANSFER = columns(
+    transfer_type_id=LONG, transfer_type=STRING, transfer_model=STRING,
+    shipping_transfer_rate=DecimalType(14, 3),
 )
-SHIPPING_INFO = schema_of(
-    "shippingid long, vendorid long, payment_amount decimal(14,2), "
-    "shipping_plan_datetime timestamp_ntz, transfer_type_id long, "
-    "shipping_country_id long, agreementid long"
+SHIPPING_INFO = columns(
+    shippingid=LONG, vendorid=LONG, payment_amount=DecimalType(14, 2),
+    shipping_plan_datetime=TIME, transfer_type_id=LONG, shipping_country_id=LONG,
+    agreementid=LONG,
 )
 
-USER_ORDER_LOG = schema_of(
-    "date_time timestamp_ntz, city_id integer, city_name string, customer_id long, "
-    "first_name string, last_name string, item_id long, item_name string, "
-    "quantity long, payment_amount decimal(14,2)"
-)
-CUSTOMER_RESEARCH = schema_of(
-    "date_id timestamp_ntz, category_id integer, geo_id integer, sales_qty integer, sales_amt decimal(18,2)"
-)
-USER_ACTIVITY_LOG = schema_of(
-    "date_time timestamp_ntz, action_id long, customer_id long, quantity long"
-)
-DIM_CITY = schema_of("city_id integer, city_name string")
-DIM_ITEM = schema_of("item_id long, item_name string")
-DIM_CUSTOMER = schema_of("customer_id long, first_name string, last_name string, city_id integer")
-SALES_FACT = schema_of(
-    "date_id integer, item_id long, customer_id long, city_id integer, quantity long, "
-    "payment_amount decimal(14,2)"
-)
-CUSTOMER_RETENTION = schema_of(
-    "new_customers_count long, returning_customers_count long, "
-    "refunded_customer_count long, period_id integer, new_customers_revenue decimal(18,2), "
-    "returning_customers_revenue decimal(18,2), customers_refunded long"
+USER_ORDER_LOG = columns(
+    date_time=TIME, city_id=INT, city_name=STRING, customer_id=LONG, first_name=STRING,
+    last_name=STRING, item_id=LONG, item_name=STRING, quantity=LONG,
+    payment_amount=DecimalType(14, 2),
+)
+CUSTOMER_RESEARCH = columns(
+    date_id=TIME, category_id=INT, geo_id=INT, sales_qty=INT, sales_amt=DecimalType(18, 2),
+)
+USER_ACTIVITY_LOG = columns(
+    date_time=TIME, action_id=LONG, customer_id=LONG, quantity=LONG,
+)
+DIM_CITY = columns(
+    city_id=INT, city_name=STRING,
+)
+DIM_ITEM = columns(
+    item_id=LONG, item_name=STRING,
+)
+DIM_CUSTOMER = columns(
+    customer_id=LONG, first_name=STRING, last_name=STRING, city_id=INT,
+)
+SALES_FACT = columns(
+    date_id=INT, item_id=LONG, customer_id=LONG, city_id=INT, quantity=LONG,
+    payment_amount=DecimalType(14, 2),
+)
+CUSTOMER_RETENTION = columns(
+    new_customers_count=LONG, returning_customers_count=LONG, refunded_customer_count=LONG,
+    period_id=INT, new_customers_revenue=DecimalType(18, 2),
+    returning_customers_revenue=DecimalType(18, 2), customers_refunded=LONG,
 )
 
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -25,6 +26,15 @@ def file_prefix(day: dt.date) -> str:
     return f"{day:%Y%m%d}_"
 
 
+def day_of(path: str) -> str | None:
+    """The day a landing file belongs to, from its ``dt=`` folder or its date prefix."""
+    folder = re.search(rf"/{DAY}=(\d{{4}}-\d{{2}}-\d{{2}})/", path)
+    if folder:
+        return folder[1]
+    name = re.match(r"(\d{4})(\d{2})(\d{2})_", path.rsplit("/", 1)[-1])
+    return "-".join(name.groups()) if name else None
+
+
 def day_folder(root: str, day: dt.date | str) -> str:
     return f"{root}/{DAY}={day}"
 
@@ -39,19 +49,36 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory())
 
 
-def read_csv(spark: SparkSession, paths: Sequence[str], base: str | None = None) -> DataFrame:
+def plain_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly inside ``path``."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(folder) if f.isFile())
+
+
+def read_csv(
+    spark: SparkSession, paths: Sequence[str], base: str | None = None, multi_line: bool = True
+) -> DataFrame:
     """Files of one generation (same header) as strings, selected by name.
 
     The header is taken from the first path. Spark maps CSV columns by position,
     so every other file's header is checked against it and a mismatch raises
-    rather than shifting values. ``base`` adds the ``dt`` folder as a column.
+    rather than shifting values. Values are kept as they are or the read fails: a
+    row with more or fewer fields than the header raises. Quoted line breaks are
+    read with ``multi_line``, which keeps a file in one task; turn it off for large
+    exports that have none. ``base`` adds the ``dt`` folder as a column.
     """
-    header = spark.read.options(**_CSV).csv(paths[0]).columns
-    schema = StructType([StructField(c, StringType()) for c in header])
-    reader = spark.read.options(**_CSV, enforceSchema="false").schema(schema)
+    options = {**_CSV, "multiLine": str(multi_line).lower(), "mode": "FAILFAST"}
+    header = spark.read.options(**options).csv(paths[0]).columns
+    # Spark gives a column without a name one by its place; the files have none.
+    named = ["" if c == f"_c{i}" else c for i, c in enumerate(header)]
+    schema = StructType([StructField(c, StringType()) for c in named])
+    # Without pruning, so that every field of a row is seen.
+    reader = spark.read.options(**options, enforceSchema="false", columnPruning="false").schema(schema)
     if base is None:
-        return reader.csv(list(paths))
-    files = reader.option("basePath", base).csv(list(paths))
+        return reader.csv(list(paths)).toDF(*header)
+    files = reader.option("basePath", base).csv(list(paths)).toDF(*header, DAY)
     return files.withColumn(DAY, F.col(DAY).cast("string"))
 
 
@@ -60,24 +87,29 @@ def read_generations(
 ) -> list[DataFrame]:
     """One frame per file generation of a feed, limited to ``days`` where given.
 
-    A feed folder holds one folder per generation, each with ``dt=YYYY-MM-DD``
-    folders (the day of the file, so a history export is one folder) of a single
-    header. Only the wanted days' folders are opened. The
-    frames are kept apart because their columns differ; clean them, then union
-    by name.
+    A feed folder holds one folder per generation of a single header, each with
+    ``dt=YYYY-MM-DD`` folders (the day of the file, so a history export is one
+    folder), with files named ``YYYYMMDD_...``, or both. Only the wanted days' files
+    are opened. The frames are kept apart because their columns differ; clean them,
+    then union by name.
     """
     wanted = None if days is None else set(days)
-    paths = {}
+    jobs = []
     for generation in subfolders(spark, feed):
         root = f"{feed}/{generation}"
         present = [n.removeprefix(f"{DAY}=") for n in subfolders(spark, root)]
-        held = [d for d in present if wanted is None or d in wanted]
+        held = [day_folder(root, d) for d in present if wanted is None or d in wanted]
+        held = [h for h in held if any(n[0] not in "._" for n in plain_files(spark, h))]
         if held:
-            paths[root] = [day_folder(root, d) for d in held]
+            jobs.append(lambda root=root, held=held: read_csv(spark, held, base=root))
+        for name in plain_files(spark, root):
+            day = day_of(name)
+            if day and (wanted is None or day in wanted):
+                jobs.append(
+                    lambda path=f"{root}/{name}", day=day: read_csv(spark, [path]).withColumn(DAY, F.lit(day))
+                )
     # Listing many folders takes a Spark job per generation.
-    return in_parallel(
-        *[lambda root=root, held=held: read_csv(spark, held, base=root) for root, held in paths.items()]
-    )
+    return in_parallel(*jobs)
 
 
 def union_generations(frames: Sequence[DataFrame]) -> DataFrame:
@@ -102,9 +134,13 @@ def write_csv(df: DataFrame, root: str) -> str:
     return root
 
 
-def stage_days(df: DataFrame, path: str, by_day: bool = True) -> None:
+def stage_days(
+    df: DataFrame, path: str, by_day: bool = True, days: Iterable[str] | None = None
+) -> None:
     """Replace the staged days that ``df`` contains and leave every other day alone.
 
+    ``days`` are replaced too if ``df`` has no rows for them: once the write is
+    done their folders are removed.
     Loading a day again gives the same table, where an append would repeat it.
     Rows read from daily folders (``by_day``) already lie together and are
     written where they were read, without a shuffle. Rows in any other order are
@@ -112,12 +148,25 @@ def stage_days(df: DataFrame, path: str, by_day: bool = True) -> None:
     heavy for one task.
     """
     rows = df if by_day else df.hint("rebalance", DAY)
+    seen = Observation()
+    if days is not None:
+        # Bounded by the calendar.
+        rows = rows.observe(seen, F.collect_set(F.col(DAY).cast("string")).alias("days"))
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
         .parquet(path)
     )
+    if days is not None:
+        for day in set(days) - set(seen.get["days"]):
+            _remove(df.sparkSession, day_folder(path, day))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def read_staged(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

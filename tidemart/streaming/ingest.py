@@ -7,16 +7,24 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, StructType, TimestampType
 
 from tidemart.operators.cleaning import clean_log
-from tidemart.schemas import conform, schema_of
-from tidemart.sources.landing import DAY, read_generations, stage_days, union_generations
+from tidemart.schemas import LONG, STRING, columns, conform
+from tidemart.session import write_shared
+from tidemart.sources.landing import (
+    DAY,
+    read_generations,
+    read_staged,
+    stage_days,
+    subfolders,
+    union_generations,
+)
 
 Clean = Callable[[DataFrame], DataFrame]
 
-# What the stream needs to know about a file; its content is not read.
-_FILE = schema_of("path string, modificationTime timestamp, length long, content binary")
+# What ingest needs to know about a file; its content is not read.
+_FILE = columns(path=STRING, modificationTime=TimestampType(), length=LONG, content=BinaryType())
 
 
 def catch_up_days(today: dt.date, back: int = 8) -> list[str]:
@@ -35,13 +43,19 @@ def ingest_days(
     """Clean the landing files of ``days`` (all if None) and replace those days in staging.
 
     Days are complete when they are replaced: every generation contributes its
-    files. Returns whether there was anything to load.
+    files, and a wanted day without rows (its files hold none, or are gone) is
+    emptied. Returns whether there was anything to load or to empty.
     """
     frames = read_generations(spark, feed, days)
     if frames:
         cleaned = [conform(clean(f), schema, DAY) for f in frames]
-        stage_days(union_generations(cleaned), staging)
-    return bool(frames)
+        stage_days(union_generations(cleaned), staging, days=days)
+        return True
+    gone = {f"{DAY}={d}" for d in days or ()} & set(subfolders(spark, staging))
+    if gone:
+        empty = read_staged(spark, staging, schema).limit(0)
+        stage_days(empty, staging, days=[g.removeprefix(f"{DAY}=") for g in gone])
+    return bool(gone)
 
 
 def ingest_bulk(log: DataFrame, staging: str, schema: StructType, ts: str = "date_time") -> None:
@@ -58,26 +72,28 @@ def ingest_arrivals(
     checkpoint: str,
     clean: Clean = clean_log,
 ) -> None:
-    """Stage every day that received a file since the last run, then stop.
+    """Stage every day whose files changed since the last run.
 
-    The file stream only tells which days changed; those days are then read in
-    full and replaced. A late file therefore re-stages its own day, and a batch
-    repeated after a failure leaves the same table.
+    The feed's files are listed with their time and length (their content is not read) and
+    compared with the list kept in ``checkpoint``. A day with a new, rewritten or removed
+    file, however old, is read in full and replaced, so a run repeated after a failure
+    leaves the same table. A file that belongs to no day raises. (Spark's file stream knows
+    files by name only and forgets old ones, so it cannot tell.)
     """
-
-    def stage_touched(batch: DataFrame, _: int) -> None:
-        # Bounded by the calendar, not by the number of files.
-        rows = batch.select(F.regexp_extract("path", rf"{DAY}=([0-9-]+)", 1).alias(DAY)).distinct()
-        days = [r[DAY] for r in rows.collect() if r[DAY]]
-        if days:
-            ingest_days(batch.sparkSession, feed, staging, schema, days, clean)
-
-    arrivals = spark.readStream.format("binaryFile").schema(_FILE).load(f"{feed}/*/*")
-    query = (
-        arrivals.select("path")
-        .writeStream.foreachBatch(stage_touched)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    kept = sorted(int(n.removeprefix("run=")) for n in subfolders(spark, checkpoint))
+    reader = spark.read.format("binaryFile").schema(_FILE).option("recursiveFileLookup", "true")
+    now = write_shared(reader.load(feed).select("path", "modificationTime", "length"), "feed-files")
+    before = spark.read.schema(now.schema).parquet(f"{checkpoint}/run={kept[-1]}") if kept else now.limit(0)
+    same = ["path", "modificationTime", "length"]
+    touched = now.join(before, same, "left_anti").unionByName(before.join(now, same, "left_anti"))
+    folder = F.regexp_extract("path", rf"/{DAY}=(\d{{4}}-\d{{2}}-\d{{2}})/", 1)
+    prefix = F.regexp_replace(F.regexp_extract("path", r"/(\d{8})_[^/]*$", 1), r"(\d{4})(\d{2})(\d{2})", "$1-$2-$3")
+    day = F.when(folder != "", folder).otherwise(prefix)
+    lost = touched.filter(day == "").select("path").first()
+    if lost:
+        raise ValueError(f"no day in the name of {lost.path}")
+    # Bounded by the calendar, not by the number of files.
+    days = sorted(r[DAY] for r in touched.select(day.alias(DAY)).distinct().collect())
+    if days:
+        ingest_days(spark, feed, staging, schema, days, clean)
+    now.write.mode("overwrite").parquet(f"{checkpoint}/run={kept[-1] + 1 if kept else 0}")
