@@ -133,6 +133,10 @@ _RELATIONS = {
                l_extendedprice::DECIMAL(14,2) AS price, l_returnflag AS flag
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
         JOIN nation ON n_nationkey = c_nationkey JOIN part ON p_partkey = l_partkey""",
+    "loaded": """
+        SELECT * REPLACE ((CASE WHEN day >= DATE '2001-07-01' THEN amount ELSE abs(amount) END)::DECIMAL(14,2)
+                          AS amount)
+        FROM sales""",
     "cleaned": """
         SELECT id, date_time, city_id, city_name, customer_id, first_name, last_name, item_id, item_name,
                quantity,
@@ -154,6 +158,7 @@ _NEEDS = {
     "info": ["transfers", "countries"],
     "last_state": ["delivery_log"],
     "cleaned": ["exported"],
+    "loaded": ["sales"],
 }
 
 _LOG_COLUMNS = (
@@ -420,6 +425,22 @@ def _statements() -> dict[str, str]:
             FROM landed""",
             "cleaned",
         ),
+        "retail_load_fact": _with(
+            """
+            SELECT date_id, item_id, customer_id, city_id, quantity, amount AS payment_amount,
+                   strftime(day, '%Y-%m-%d') AS dt
+            FROM loaded""",
+            "loaded",
+        ),
+        "retail_load_dims": _with(
+            """
+            SELECT DISTINCT 'city' AS dim, city_id AS id, city_name AS name FROM exported
+            UNION ALL SELECT DISTINCT 'item', item_id, item_name FROM exported
+            UNION ALL SELECT 'customer', customer_id, first_name || '#' || last_name || '#' || MAX(city_id)
+            FROM exported GROUP BY customer_id, first_name, last_name""",
+            "exported",
+        ),
+        "retail_load_weekly": _with(_retention_weekly(_AS_CODED, source="loaded"), "loaded"),
         "stage_customer_research": """
             SELECT o_orderdate::TIMESTAMP AS date_id, left(o_orderpriority, 1)::INT AS category_id,
                    c_nationkey::INT AS geo_id, COUNT(*)::INT AS sales_qty,

@@ -13,7 +13,7 @@ from tidemart import schemas
 from tidemart.functions.temporal import month_starts
 from tidemart.operators import quality
 from tidemart.operators.cleaning import clean_log
-from tidemart.plans import activity, retail, rfm, shipping
+from tidemart.plans import activity, daily_load, retail, rfm, shipping
 from tidemart.session import fresh_path, in_parallel, write_shared
 from tidemart.sources import adapters
 from tidemart.sources.landing import (
@@ -347,6 +347,44 @@ def daily_increment(spark, root):
     return read_staged(spark, staging, target)
 
 
+def _loaded(spark, root) -> str:
+    """A warehouse after the whole load: all files staged, dimensions appended, the days of the
+    increments loaded, the history's days backfilled."""
+    feed, warehouse = _land_orders(spark, root), fresh_path(spark, "warehouse")
+    calendar = write_shared(adapters.calendar(spark, root), "calendar")
+    exported_on = INCREMENTS_SINCE - dt.timedelta(days=1)
+    days = [exported_on + dt.timedelta(days=n) for n in range((FACT_LAST - exported_on).days + 1)]
+    daily_load.load_days(spark, feed, warehouse, calendar, [d.isoformat() for d in days])
+    daily_load.load_fact(spark, warehouse, calendar, FACT_FIRST, exported_on)
+    return warehouse
+
+
+@query
+def retail_load_fact(spark, root):
+    return read_staged(spark, f"{_loaded(spark, root)}/mart/f_sales", schemas.SALES_FACT)
+
+
+@query
+def retail_load_dims(spark, root):
+    """The three dimensions one below the other."""
+    mart = f"{_loaded(spark, root)}/mart"
+    city = spark.read.parquet(f"{mart}/d_city").select(
+        F.lit("city").alias("dim"), F.col("city_id").cast("long").alias("id"), F.col("city_name").alias("name")
+    )
+    item = spark.read.parquet(f"{mart}/d_item").select(F.lit("item").alias("dim"), "item_id", "item_name")
+    customer = spark.read.parquet(f"{mart}/d_customer").select(
+        F.lit("customer").alias("dim"), "customer_id", F.concat_ws("#", "first_name", "last_name", "city_id")
+    )
+    return city.union(item).union(customer)
+
+
+@query
+def retail_load_weekly(spark, root):
+    warehouse = _loaded(spark, root)
+    daily_load.rebuild_retention(spark, warehouse)
+    return spark.read.parquet(f"{warehouse}/mart/f_customer_retention")
+
+
 def _staged_feed(spark, feed: DataFrame, schema) -> DataFrame:
     numbered = feed.select(F.xxhash64(*feed.columns).alias("id"), "*")
     path = write_csv(numbered, fresh_path(spark, "feed"))
