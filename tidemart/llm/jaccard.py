@@ -190,11 +190,16 @@ def token_groups(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     rows = write_shared(tokens.join(shared, "token"), "shared-tokens")
     width = math.log(100 / percent) if percent < 100 else 1.0
     homes = rows.groupBy("rid", "n").agg(F.max(F.struct("df", "token")).alias("home"))
-    homes = homes.select("rid", "n", F.col("home.token").alias("home"), F.floor(F.log("n") / width).alias("range"))
-    sizes = homes.groupBy("home", "range").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).alias("parts"))
+    homes = write_shared(
+        homes.select("rid", "n", F.col("home.token").alias("home"), F.floor(F.log("n") / width).alias("range")),
+        "token-homes",
+    )
+    # Only homes of more than one group are joined, so that a large one is not brought together.
+    sizes = homes.groupBy("home", "range").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).alias("parts")).filter("parts > 1")
+    part = F.pmod(F.xxhash64("rid"), F.coalesce("parts", F.lit(1)))
     groups = write_shared(
-        homes.join(sizes, ["home", "range"]).select(
-            "rid", "n", F.xxhash64("home", "range", F.pmod(F.xxhash64("rid"), F.col("parts"))).alias("gid")
+        homes.join(small(write_shared(sizes, "large-homes")), ["home", "range"], "left").select(
+            "rid", "n", F.xxhash64("home", "range", part).alias("gid")
         ),
         "token-groups",
     )
