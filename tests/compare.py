@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from decimal import Decimal
 from pathlib import Path
@@ -84,7 +85,7 @@ def main(argv: list[str]) -> int:
     names = argv[1:] or list(registry.registered())
     spark = build_session("compare", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-        "spark.driver.memory": "8g",
+        "spark.driver.memory": "8g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-"),
     })
     spark.sparkContext.setLogLevel("ERROR")
     con = database(root)

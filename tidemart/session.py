@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
@@ -19,6 +21,9 @@ _DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+# Driver threads that submit jobs at the same time.
+DRIVER_THREADS = 8
+
 T = TypeVar("T")
 
 _local_folders: dict[str, str] = {}
@@ -51,7 +56,8 @@ def shared_folder(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    # "local" and "local[n]", but not "local-cluster[...]", whose executors are processes of their own.
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = context.applicationId
     if app not in _local_folders:
@@ -82,9 +88,15 @@ def write_shared(df: DataFrame, label: str) -> DataFrame:
 
 
 def in_parallel(*jobs: Callable[[], T]) -> list[T]:
-    """Run independent driver calls at the same time, so that their Spark jobs overlap."""
-    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-        return list(pool.map(lambda job: job(), jobs))
+    """Run independent driver calls at the same time, so that their Spark jobs overlap.
+
+    At most ``DRIVER_THREADS`` run at once; each inherits the caller's job group, pool and tags.
+    """
+    if not jobs:
+        return []
+    ready = [inheritable_thread_target(job) for job in jobs]
+    with ThreadPoolExecutor(max_workers=min(DRIVER_THREADS, len(jobs))) as pool:
+        return list(pool.map(lambda job: job(), ready))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
