@@ -94,7 +94,9 @@ def in_parallel(*jobs: Callable[[], T]) -> list[T]:
     """
     if not jobs:
         return []
-    ready = [inheritable_thread_target(job) for job in jobs]
+    inherit = inheritable_thread_target(SparkSession.active())
+    # Without pinned threads there is nothing to inherit, and no wrapper is given.
+    ready = [inherit(job) if callable(inherit) else job for job in jobs]
     with ThreadPoolExecutor(max_workers=min(DRIVER_THREADS, len(jobs))) as pool:
         return list(pool.map(lambda job: job(), ready))
 
