@@ -100,13 +100,13 @@ def fit(bags: list[Sentences], y: np.ndarray, shares: tuple[float, float]) -> Mo
     none = Model(np.zeros(1 << BITS, np.float32), -30.0)
     if not ((y == 0).any() and (y == 1).any()):
         return none
-    slots = np.concatenate([b.slots for b in bags])
+    slots = np.concatenate([b.slots.astype(np.int32) for b in bags])
     words = np.array([len(b.slots) for b in bags])
-    owner = np.repeat(np.arange(len(bags)), words)
-    pairs = np.unique(owner * (1 << BITS) + slots)
-    seen = np.bincount(pairs % (1 << BITS), minlength=1 << BITS)
+    seen = np.zeros(1 << BITS, np.int32)
+    for b in bags:
+        seen[np.unique(b.slots)] += 1
     used = np.flatnonzero(seen >= LEAST_DOCS)
-    place = np.full(1 << BITS, len(used))
+    place = np.full(1 << BITS, len(used), np.int32)
     place[used] = np.arange(len(used))
     shift = np.r_[0, np.cumsum(words)[:-1]]
     first = np.concatenate([b.first + s for b, s in zip(bags, shift)])
@@ -114,9 +114,10 @@ def fit(bags: list[Sentences], y: np.ndarray, shares: tuple[float, float]) -> Mo
     bag = np.repeat(np.arange(len(bags)), per_bag)
     bounds = np.r_[0, np.cumsum(per_bag)]
     # Words without a weight are left out; every sentence keeps its bias.
-    sentence = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(slots)]))
+    sentence = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.r_[first, len(slots)]))
     keep = place[slots] < len(used)
     column, row = place[slots[keep]], sentence[keep]
+    del slots, sentence, keep
     mass = np.where(y == 1, shares[1] / (y == 1).sum(), shares[0] / (y == 0).sum())
     w, b = np.zeros(len(used)), -3.0
     first_m, second_m = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
