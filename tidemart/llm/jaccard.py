@@ -48,7 +48,7 @@ FREQUENT = 16
 LIST_ROWS = 1 << 20
 GROUP_ROWS = 128
 LEADING_MATCHES = 3
-FLUSH_TOKENS = 1 << 20
+FLUSH_TOKENS = 1 << 18
 KEY = ["key_a", "key_b", "n"]
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 
 _rng = np.random.default_rng(0x5EED)
 # A random 64-bit value per byte; letters A-Z count as a-z.
