@@ -57,6 +57,26 @@ def test_equals_brute_force(spark, frame, prose):
     assert sorted(r["doc_id"] for r in clean.collect()) == sorted([i for i, _ in docs if i not in bad] + [0])
 
 
+def test_windows_between_alignments(spark, frame, prose):
+    """The best window of an item cut at both ends and widened in the middle starts between its alignments."""
+    sizes = [58, 59, 62, 66]
+    items = [(i, prose(n, 300 + n)) for i, n in enumerate(sizes)]
+    docs = []
+    for i, item in items:
+        w = item.split()
+        half = len(w) // 2
+        for j, ends in enumerate([("", ""), ("first", "last")]):
+            inner = " ".join([ends[0], *w[1:half], "two", "odd", *w[half:-1], ends[1]])
+            docs.append((10 * i + j, f"{prose(40, 400 + i)} {inner} {prose(40, 500 + i)}"))
+        docs.append((10 * i + 2, f"{item} {item}"))
+        docs.append((10 * i + 3, " ".join(w[2:])))
+    got = de.contaminated(frame(docs), _benchmark(spark, items)).collect()
+    found = {(r["doc_id"], r["item_id"]): r["similarity"] for r in got}
+    want = _brute(docs, items)
+    assert set(found) == set(want) and len(want) == len(docs)
+    assert all(abs(found[k] - want[k]) < 1e-12 for k in want)
+
+
 def test_empty_sides(spark, frame, prose):
     some = frame([(1, prose(30, 1))])
     assert de.contaminated(frame([]), _benchmark(spark, [(1, prose(30, 1))])).collect() == []

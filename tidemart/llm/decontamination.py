@@ -4,10 +4,10 @@ Words are runs of letters and digits, lower-cased. A benchmark item of n words i
 against windows of n words of a document, as sets of five-word shingles (a shorter item
 is one shingle of all its words) weighted by how often they occur in either.
 
-1. **Windows.** A window without any shingle of an item has similarity 0 with it, so
-   windows are laid only where a document holds one: at the place that brings the shingle
-   to where the item has it. One pass hashes every shingle of every text and looks it up
-   among the items' shingles.
+1. **Windows.** Two bags of a and b shingles are similar by 80 percent only if they share
+   80 / 180 of a + b or more. One pass hashes every shingle of every text and looks it
+   up among the items' shingles; every window that holds so many of those is laid, wherever
+   it starts, and no other can match.
 2. **Fingerprints.** Each window and each item gets a 128-bit SimHash of its weighted
    shingles.
 3. **Hamming blocks.** The bits are cut into ``RADIUS + 1`` blocks. Two fingerprints at
@@ -96,6 +96,24 @@ def _blocks(bits: Column, radius: int) -> Column:
     return F.array(*blocks)
 
 
+def _first_block(a: Column, b: Column, radius: int) -> Column:
+    """Number of the first block in which two fingerprints agree; null if there is none."""
+    n = radius + 1
+    edges = [i * BITS // n for i in range(n + 1)]
+    first = []
+    for i, (low, high) in enumerate(zip(edges, edges[1:])):
+        masks = [0] * (BITS // 64)
+        for at in range(low, high):
+            masks[at // 64] |= 1 << (at % 64)
+        same = [
+            F.get(a, F.lit(w)).bitwiseXOR(F.get(b, F.lit(w))).bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m).cast("long")) == 0
+            for w, m in enumerate(masks)
+            if m
+        ]
+        first.append(F.when(reduce(Column.__and__, same), F.lit(i)))
+    return F.coalesce(*first)
+
+
 def _distance(a: Column, b: Column) -> Column:
     each = [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(BITS // 64)]
     return reduce(Column.__add__, each)
@@ -111,6 +129,19 @@ def _similarity(a: Column, b: Column) -> Column:
     return shared / F.greatest(F.size(a) + F.size(b) - shared, F.lit(1))
 
 
+def _starts(at: Column, least: Column, span: Column, last: Column) -> Column:
+    """Each start from 0 to ``last`` once whose next ``span`` places hold ``least`` or more of the
+    sorted places ``at``, which are at least as many."""
+
+    def from_first(i: Column) -> Column:
+        # Starts that have at[i] as their first place, or lie on it.
+        low = F.greatest(F.get(at, i + least - 1) - span + 1, F.get(at, i - 1) + 1, F.lit(0))
+        high = F.least(F.get(at, i), last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(at) - least), from_first))
+
+
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """item_id, n (words), k (words of a shingle), words and shingles of every item with words."""
     words = benchmark.select("item_id", _words(F.col("text")).alias("words"))
@@ -137,7 +168,7 @@ def contaminated(
     # At most SHINGLE values.
     sizes = sorted(r[0] for r in items.select("k").distinct().collect()) or [SHINGLE]
     anchors = write_shared(
-        items.select("n", "k", F.posexplode("shingles").alias("offset", "shingle")).distinct(), "benchmark-shingles"
+        items.select("n", "k", F.explode("shingles").alias("shingle")).distinct(), "benchmark-shingles"
     )
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     words = docs.select("doc_id", "text_hash", _words(F.col("text")).alias("words"))
@@ -148,10 +179,19 @@ def contaminated(
             "doc_id", "text_hash", F.size(w).alias("n_words"), F.posexplode(_shingles(w, k)).alias("at", "shingle")
         )
         hits.append(each.join(small(anchors.filter(F.col("k") == k)), "shingle"))
-    # Near the ends of a text the window is moved inside; a text shorter than the item is one window.
-    start = F.greatest(F.least(F.col("at") - F.col("offset"), F.col("n_words") - n), F.lit(0))
-    places = reduce(DataFrame.unionByName, hits).groupBy("doc_id", "text_hash", "n", "k", start.alias("start"))
-    places = write_shared(places.agg(F.count(F.lit(1)).alias("hits")), "window-places")
+    held = reduce(DataFrame.unionByName, hits).groupBy("doc_id", "text_hash", "n_words", "n", "k")
+    held = held.agg(F.array_sort(F.collect_set("at")).alias("at"))
+    # A text shorter than the item is one window, of fewer shingles.
+    full, span = n - F.col("k") + 1, F.least("n", "n_words") - F.col("k") + 1
+    # The least number shared by bags of these sizes, rounded up.
+    least = F.ceil(percent * (full + span) / F.lit(100 + percent)).cast("int")
+    least = F.greatest(least, F.lit(1))
+    rows = held.withColumns({"span": span, "least": least}).filter(F.size("at") >= F.col("least"))
+    last = F.greatest(F.col("n_words") - n, F.lit(0))
+    starts = _starts(F.col("at"), F.col("least"), F.col("span"), last)
+    places = write_shared(
+        rows.select("doc_id", "text_hash", "n", "k", F.explode(starts).alias("start")), "window-places"
+    )
     per_text = places.groupBy(F.col("doc_id").alias("at_id"), F.col("text_hash").alias("at_hash")).agg(
         F.collect_list(F.struct("n", "k", "start")).alias("places")
     )
@@ -185,6 +225,8 @@ def contaminated(
         left.join(small(right), (F.col("n") == F.col("size")) & (F.col("b") == F.col("c")))
         .withColumn("distance", _distance(F.col("bits"), F.col("item_bits")))
         .filter(F.col("distance") <= radius)
+        # Verified once, however many blocks agree.
+        .filter(F.col("b.block") == _first_block(F.col("bits"), F.col("item_bits"), radius))
         .withColumn("similarity", _similarity(F.array_sort("shingles"), F.array_sort("item_shingles")))
         .filter(F.col("similarity") * 100 >= percent)
         .groupBy("n", "words", "item")
