@@ -43,6 +43,21 @@ def test_verdicts(spark):
     assert by[12][:2] == ("b:", "//net/es/")
 
 
+def test_hosts_end_where_the_path_begins(spark):
+    """Hosts in a path, as in archive and redirect URLs, are not the page's host."""
+    rules = (*urls.RULES, urls.Rule(urls.BLOCK, "shop.org"), urls.Rule(urls.BLOCK, "ads*.org/x"))
+    rows = [
+        (1, "http://web.archive.org/web/2020/http://www.example.com/en/x"), (2, "http://foo.org/a.net/es/b"),
+        (3, "http://a.org/b.com/c"), (4, "http://m.net/a.net/es/"), (5, "http://b.net/es/a.com/"),
+        (6, "http://shop.org"), (7, "http://m.shop.org/a"), (8, "http://shop.organic/a"), (9, "http://b.org/m.shop.org"),
+        (10, "http://m.ads1.org/xy"), (11, "http://ads.net/a.org/x"),
+    ]
+    got = urls.judge_pages(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()
+    found = {r["page_id"]: r["rule"] for r in got}
+    fits = {5: "net/es/", 6: "shop.org", 7: "shop.org", 10: "ads*.org/x"}
+    assert found == {i: fits.get(i) for i, _ in rows}
+
+
 def test_empty(spark):
     assert urls.judge_pages(spark.createDataFrame([], "page_id long, url string"), urls.RULES).collect() == []
 

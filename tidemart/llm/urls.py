@@ -1,7 +1,8 @@
 """URL rules as a bit-parallel wildcard automaton.
 
-Each rule becomes two globs over the canonical URL (lower-case host, then path): the
-host itself and ``*.`` host, both followed by the path and ``*``. All globs lie side by
+Each rule becomes two globs over the canonical URL (lower-case host, ``#``, path): the
+host itself and ``*.`` host, both followed by ``#``, the path and ``*``. Neither host nor
+path can hold a ``#``, so no ``*`` of a host reaches into the path. All globs lie side by
 side in one row of state bits, packed into 64-bit words: bit j says that the glob's
 first j tokens match what was read. One step reads one byte of every URL of a batch at
 once: states whose next token accepts the byte move on, states before a ``*`` stay
@@ -30,17 +31,20 @@ from pyspark.sql import functions as F
 
 ALLOW, BLOCK = "allow", "block"
 SUB_BATCH_BYTES = 1 << 20
+# Between host and path, where it cannot occur.
+EDGE = "#"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` is a host followed by a path prefix; both may hold ``*``."""
+    """``pattern`` is a host followed by a path prefix (from the first ``/``); both may hold ``*``."""
 
     verdict: str
     pattern: str
 
     def globs(self) -> list[str]:
-        return [f"{self.pattern}*", f"*.{self.pattern}*"]
+        host, slash, path = self.pattern.partition("/")
+        return [f"{host}{EDGE}{slash}{path}*", f"*.{host}{EDGE}{slash}{path}*"]
 
 
 RULES = (
@@ -145,7 +149,7 @@ def judge_pages(pages: DataFrame, rules: Sequence[Rule], default: str = ALLOW) -
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
-            urls = [(h + p).encode() for h, p in zip(hosts, paths)]
+            urls = [(h + EDGE + p).encode() for h, p in zip(hosts, paths)]
             hit = matching(automaton, urls).reshape(len(urls), len(patterns), 2).any(axis=2)
             score = np.where(hit, rank, -1)
             best = score.argmax(axis=1) if len(patterns) else np.zeros(len(urls), int)
