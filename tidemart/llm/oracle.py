@@ -83,6 +83,54 @@ _statements = {
         FROM parts p LEFT JOIN fits f
           ON f.page_id = p.page_id AND f.host = p.host AND f.path = p.path AND f.nth = 1
     """,
+    "op11_periodic_runs": r"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                   flatten([[(ascii(c) >> j) & 1 FOR j IN range(8)] FOR c IN string_split(doc_id::VARCHAR, '')]) AS bits
+            FROM documents
+        ), hashed AS (
+            -- crc32 of the id, bit by bit
+            SELECT r, doc_id, w, len(w) AS n,
+                   xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, bits::BIGINT[]),
+                       lambda acc, b: xor(acc >> 1, 3988292384 * (xor(acc, b) & 1)))) AS h
+            FROM texts
+        ), places AS (
+            SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a,
+                   CASE WHEN h % 10 = 0 AND n > 0 THEN 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) END AS p
+            FROM hashed
+        ), edited AS (
+            SELECT r, doc_id, n,
+                   CASE WHEN a IS NULL THEN w
+                        ELSE [w[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END] FOR i IN range(n)] END AS w
+            FROM places
+        ), words AS (
+            SELECT r, n, unnest(range(n)) AS i, unnest(w) AS word FROM edited
+        ), matches AS (
+            SELECT x.r, x.i, x.i - y.i AS q FROM words x JOIN words y
+              ON x.r = y.r AND x.word = y.word AND y.i < x.i AND 4 * (x.i - y.i) <= x.n
+        ), pieces AS (
+            SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS piece FROM matches
+        ), stretches AS (
+            SELECT r, q, min(i) - q AS s, count(*) + q AS l FROM pieces GROUP BY r, q, piece
+            HAVING count(*) + q >= greatest(6, 4 * q)
+        ), runs AS (
+            SELECT r, s, l, min(q) AS q FROM stretches GROUP BY r, s, l
+        ), told AS (
+            SELECT r, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+                   arg_min({'s': s, 'l': l, 'q': q}, {'l': -l, 's': s, 'q': q}) AS most
+            FROM runs GROUP BY r
+        ), dropped AS (
+            SELECT DISTINCT r, unnest(range(s + q, s + l)) AS i FROM runs
+        ), collapsed AS (
+            SELECT r, string_agg(word, ' ' ORDER BY i) AS t
+            FROM words w WHERE NOT EXISTS (SELECT 1 FROM dropped d WHERE d.r = w.r AND d.i = w.i) GROUP BY r
+        )
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, most.s AS start, most.l AS length, most.q AS period,
+               1000 * most.l // most.q AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+               sha256(coalesce(t, '')) AS collapsed_sha256
+        FROM edited LEFT JOIN told USING (r) LEFT JOIN collapsed USING (r)
+    """,
 }
 
 

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import decontamination, jaccard, langid, mixing, quality, rules, sharding, tokencounts, toxicity, urls
+from tidemart.llm import (
+    decontamination,
+    fingerprints,
+    jaccard,
+    langid,
+    mixing,
+    periods,
+    quality,
+    rules,
+    sharding,
+    tokencounts,
+    toxicity,
+    urls,
+    whitening,
+)
 from tidemart.llm.common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +120,31 @@ def op9_toxicity(spark, root):
 @query
 def op10_token_counts(spark, root):
     return tokencounts.count_and_redact(read(spark, root, "documents", "doc_id", "text"))
+
+
+@query
+def op11_periodic_runs(spark, root):
+    found = periods.periodic_runs(periods.planted(read(spark, root, "documents", "doc_id", "text")))
+    found = found.withColumn("most", periods.longest(F.col("runs")))
+    length, period = -F.col("most.length"), F.col("most.period")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("most.start").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_embedding_whitening(spark, root):
+    return whitening.whitened(read(spark, root, "embeddings", "vec_id", "embedding"))
+
+
+@query
+def op13_document_fingerprints(spark, root):
+    return fingerprints.compared(read(spark, root, "documents", "doc_id", "text"))
