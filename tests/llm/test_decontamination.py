@@ -77,6 +77,32 @@ def test_windows_between_alignments(spark, frame, prose):
     assert all(abs(found[k] - want[k]) < 1e-12 for k in want)
 
 
+def test_repetitive_and_small_items(spark, frame, prose):
+    """Bags in which one shingle weighs much: fingerprints may differ far, similarity decides."""
+    items, docs = [], []
+    for i in range(40):
+        w = prose(2, 700 + i).split()
+        # Two alternating shingles of five words nine times over, one changed; and five shingles against four.
+        items.append((2 * i, " ".join((w * 7)[:13])))
+        docs.append((2 * i, " ".join(w * 6 + ["odd"])))
+        items.append((2 * i + 1, prose(9, 800 + i)))
+        docs.append((2 * i + 1, " ".join(items[-1][1].split()[:8])))
+    items.append((100, "x y " * 12))
+    docs += [(100, "x y " * 11 + "odd end"), (101, "q " * 60 + "x y " * 30)]
+    got = de.contaminated(frame(docs), _benchmark(spark, items)).collect()
+    found = {(r["doc_id"], r["item_id"]): r["similarity"] for r in got}
+    want = _brute(docs, items)
+    assert set(found) == set(want) and len(want) >= 81
+    assert all(abs(found[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_very_long_text(spark, frame, prose):
+    item = prose(50, 1)
+    docs = [(1, f"{prose(40_000, 2)} {item} {prose(40_000, 3)}"), (2, prose(60_000, 4))]
+    got = de.contaminated(frame(docs), _benchmark(spark, [(7, item)])).collect()
+    assert [(r["doc_id"], r["item_id"], r["start"], r["similarity"]) for r in got] == [(1, 7, 40_000, 1.0)]
+
+
 def test_empty_sides(spark, frame, prose):
     some = frame([(1, prose(30, 1))])
     assert de.contaminated(frame([]), _benchmark(spark, [(1, prose(30, 1))])).collect() == []
