@@ -10,17 +10,26 @@ from pyspark.sql import functions as F
 
 from tidemart import schemas
 from tidemart.operators.cleaning import clean_log
-from tidemart.plans.daily_load import load_day, load_days, load_fact, rebuild_retention
+from tidemart.plans import retail
+from tidemart.plans.daily_load import load_day, load_days, load_fact, read_retention, rebuild_retention
 from tidemart.session import fresh_path, release_written, shared_folder
-from tidemart.sources.landing import day_of, file_prefix, read_csv, read_staged
-from tidemart.sources.tables import save_mart
-from tidemart.streaming.ingest import catch_up_days, ingest_arrivals, ingest_bulk, ingest_days
+from tidemart.sources import versions
+from tidemart.sources.landing import day_of, file_prefix, name_by_day, read_csv, read_staged, staged_days
+from tidemart.sources.tables import read_or_empty, save_mart
+from tidemart.streaming.ingest import (
+    catch_up_days,
+    ingest_arrivals,
+    ingest_bulk,
+    ingest_days,
+    stream_arrivals,
+)
 
 COLUMNS = (
     "date_time,city_id,city_name,customer_id,first_name,last_name,item_id,item_name,quantity,"
     "payment_amount"
 )
 TARGET = schemas.USER_ORDER_LOG
+DIMS = {"d_city": schemas.DIM_CITY, "d_item": schemas.DIM_ITEM, "d_customer": schemas.DIM_CUSTOMER}
 
 
 def land(folder: Path, generation: str, day: str, lines, name="part-0.csv"):
@@ -131,6 +140,91 @@ def test_files_named_by_day(spark, feed, tmp_path):
     assert len(amounts(spark, staging)) == 5
 
 
+def entry_points(spark, feed, tmp_path):
+    """Each way of taking in the whole feed, as a call."""
+    state, stream = str(tmp_path / "list"), str(tmp_path / "stream")
+    return [
+        lambda staging: ingest_days(spark, str(feed), staging, TARGET),
+        lambda staging: ingest_arrivals(spark, str(feed), staging, TARGET, state),
+        lambda staging: stream_arrivals(spark, str(feed), staging, TARGET, stream),
+    ]
+
+
+def test_files_are_found_wherever_they_lie(spark, feed, tmp_path):
+    """Beside the generations, nested below them, and several headers in one folder tree."""
+    (feed / "20240103_orders.csv").write_text("\n".join([COLUMNS, row("2024-01-03", "4.00")]) + "\n")
+    land(feed / "g1" / "sub", "plain", "2024-01-04", [row("2024-01-04", "5.50")])
+    deep = feed / "plain" / "dt=2024-01-01" / "more"
+    deep.mkdir()
+    (deep / "b.csv").write_text("\n".join([COLUMNS, row("2024-01-01", "6.50")]) + "\n")
+    (feed / "g1" / "20240105_inc.csv").write_text("\n".join([f",id,{COLUMNS},status", row("2024-01-05", "7.50", "refunded", 4)]) + "\n")
+    (feed / "20240106_empty.csv").write_text("")
+    (feed / "plain" / "_SUCCESS").write_text("")
+    want = [
+        ("2024-01-01", 5.0), ("2024-01-01", 6.0), ("2024-01-01", 6.5), ("2024-01-02", -7.0), ("2024-01-02", 8.0),
+        ("2024-01-03", 4.0), ("2024-01-04", 5.5), ("2024-01-05", -7.5),
+    ]
+    for i, take_in in enumerate(entry_points(spark, feed, tmp_path)):
+        take_in(str(tmp_path / f"staging{i}"))
+        assert amounts(spark, str(tmp_path / f"staging{i}")) == want
+    one = str(tmp_path / "one")
+    ingest_days(spark, str(feed), one, TARGET, ["2024-01-03", "2024-01-04"])
+    assert amounts(spark, one) == [("2024-01-03", 4.0), ("2024-01-04", 5.5)]
+
+
+def test_files_of_no_day_raise(spark, feed, tmp_path):
+    (feed / "plain" / "orders.csv").write_text(COLUMNS + "\n")
+    for i, take_in in enumerate(entry_points(spark, feed, tmp_path)):
+        with pytest.raises(Exception, match="no day in the name of .*orders.csv"):
+            take_in(str(tmp_path / f"staging{i}"))
+        assert staged_days(spark, str(tmp_path / f"staging{i}")) == []
+
+
+def test_rows_after_their_file_raise_everywhere(spark, feed, tmp_path):
+    land(feed, "plain", "2024-01-04", [row("2024-01-05", "1.00")])
+    for i, take_in in enumerate(entry_points(spark, feed, tmp_path)):
+        with pytest.raises(Exception, match="later than its file"):
+            take_in(str(tmp_path / f"staging{i}"))
+    assert ingest_days(spark, str(feed), str(tmp_path / "unchecked"), TARGET, ts=None)
+
+
+def test_export_renamed_by_day(spark, feed, tmp_path):
+    name_by_day(spark, str(feed / "plain"), "orders.csv")
+    assert [f.name for f in (feed / "plain").iterdir() if f.is_file() and f.suffix == ".csv"] == ["20240101_0_orders.csv"]
+    ingest_days(spark, str(feed), str(tmp_path / "staging"), TARGET)
+    assert len(amounts(spark, str(tmp_path / "staging"))) == 4
+
+
+def test_stream_goes_on_where_it_failed(spark, feed, tmp_path):
+    """A batch that fails midway is taken again; days staged before stay, and nothing is doubled."""
+    for n in range(3, 8):
+        land(feed, "plain", f"2024-01-{n:02d}", [row(f"2024-01-{n:02d}", f"{n}.00")])
+    staging, state, calls = str(tmp_path / "staging"), str(tmp_path / "state"), []
+
+    def breaks(df):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("lost midway")
+        return clean_log(df)
+
+    with pytest.raises(Exception, match="lost midway"):
+        stream_arrivals(spark, str(feed), staging, TARGET, state, clean=breaks, files_per_batch=2)
+    assert 0 < len(staged_days(spark, staging)) < 7
+    stream_arrivals(spark, str(feed), staging, TARGET, state, files_per_batch=2)
+    whole = str(tmp_path / "whole")
+    ingest_days(spark, str(feed), whole, TARGET)
+    assert amounts(spark, staging) == amounts(spark, whole)
+    # A new file, a month old, of a day already staged.
+    land(feed, "plain", "2024-01-01", [row("2024-01-01", "1.00")], "late.csv")
+    old = feed / "plain" / "dt=2024-01-01" / "late.csv"
+    os.utime(old, (old.stat().st_mtime - 30 * 86_400,) * 2)
+    number = versions.latest(spark, staging).number
+    stream_arrivals(spark, str(feed), staging, TARGET, state)
+    assert ("2024-01-01", 1.0) in amounts(spark, staging) and len(amounts(spark, staging)) == 10
+    stream_arrivals(spark, str(feed), staging, TARGET, state)
+    assert versions.latest(spark, staging).number == number + 1
+
+
 def test_emptied_day_is_emptied(spark, feed, tmp_path):
     staging = str(tmp_path / "staging")
     ingest_days(spark, str(feed), staging, TARGET)
@@ -196,7 +290,7 @@ def test_mart_rebuild_overwrites(spark, tmp_path):
     target = schemas.columns(id=schemas.INT)
     save_mart(spark.range(5), path, target)
     save_mart(spark.range(2).withColumn("other", F.lit(1)), path, target)
-    table = spark.read.parquet(path)
+    table = read_or_empty(spark, path, target)
     assert table.dtypes == [("id", "int")] and table.count() == 2
 
 
@@ -211,8 +305,10 @@ def test_daily_load_end_to_end(spark, feed, tmp_path):
         rebuild_retention(spark, home)
 
     def tables():
-        names = ("d_city", "d_item", "d_customer", "f_sales", "f_customer_retention")
-        return {n: sorted(map(str, spark.read.parquet(f"{home}/mart/{n}").collect())) for n in names}
+        frames = {n: read_or_empty(spark, f"{home}/mart/{n}", s) for n, s in DIMS.items()}
+        frames["f_sales"] = read_staged(spark, f"{home}/mart/f_sales", schemas.SALES_FACT)
+        frames["f_customer_retention"] = read_retention(spark, home)
+        return {n: sorted(map(str, df.collect())) for n, df in frames.items()}
 
     load()
     first = tables()
@@ -249,3 +345,67 @@ def test_staged_day_filter_prunes_folders(spark, feed, tmp_path, plan_of):
     ingest_days(spark, str(feed), staging, TARGET)
     plan = plan_of(read_staged(spark, staging, TARGET).filter(F.col("dt") == "2024-01-02"))
     assert "PartitionFilters: [isnotnull(dt" in plan
+
+
+def _weekly(spark, home):
+    return sorted(map(str, read_retention(spark, home).collect()))
+
+
+def test_weekly_mart_reads_only_touched_weeks(spark, feed, tmp_path, monkeypatch):
+    """Increments, late rows, an emptied day and a backfill: equal to the full rebuild each time."""
+    home = str(tmp_path / "warehouse")
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    # The calendar lacks a day, whose rows then have no period.
+    dated = [(int(f"{day(n):%Y%m%d}"), day(n)) for n in range(-40, 30) if n != 5]
+    calendar = spark.createDataFrame(dated, "date_id int, date_actual date")
+    for n in range(2, 16):
+        land(feed, "plain", str(day(n)), [row(str(day(n)), f"{n}.00"), row(str(day(n)), "1.00").replace(",7,Ann", f",{n % 3},Bo")])
+    load_days(spark, str(feed), home, calendar, [str(day(n)) for n in range(16)])
+    read = []
+    weekly = retail.customer_retention_weekly
+
+    def watched(fact, *args, **options):
+        read.append(sorted({day_of(f) for f in fact.inputFiles()}))
+        return weekly(fact, *args, **options)
+
+    monkeypatch.setattr(retail, "customer_retention_weekly", watched)
+
+    def step(touched, days=None):
+        made = rebuild_retention(spark, home)
+        assert made == touched
+        if days is not None:
+            assert read[-1] == days
+        grown = _weekly(spark, home)
+        fact = read_staged(spark, f"{home}/mart/f_sales", schemas.SALES_FACT)
+        assert grown == sorted(map(str, weekly(fact).collect()))
+
+    step(["20241", "20242", "20243", "none"])
+    assert rebuild_retention(spark, home) == []
+    parts = versions.latest(spark, f"{home}/mart/f_customer_retention").parts
+    # A late file in the second week.
+    land(feed, "plain", str(day(8)), [row(str(day(8)), "50.00")], "late.csv")
+    load_day(spark, str(feed), home, calendar, day(8))
+    step(["20242"], [str(day(n)) for n in range(7, 14)])
+    after = versions.latest(spark, f"{home}/mart/f_customer_retention").parts
+    assert {p for p in after if after[p] != parts[p]} == {"20242"}
+    # An emptied day in the third week, then the day without a period.
+    land(feed, "plain", str(day(15)), [])
+    load_day(spark, str(feed), home, calendar, day(15))
+    step(["20243"], [str(day(14))])
+    land(feed, "plain", str(day(5)), [])
+    load_day(spark, str(feed), home, calendar, day(5))
+    step(["none"], [])
+    assert "none" not in versions.latest(spark, f"{home}/mart/f_customer_retention").parts
+    # History by a backfill; another kind of period recomputes all.
+    land(feed, "plain", "2023-12-31", [row("2023-12-20", "3.00"), row("2023-12-31", "4.00")], "history.csv")
+    load_day(spark, str(feed), home, calendar, dt.date(2023, 12, 31))
+    load_fact(spark, home, calendar, dt.date(2023, 12, 1), dt.date(2023, 12, 30))
+    step(["202351", "202352"], ["2023-12-20", "2023-12-31"])
+    # The five ISO weeks are made and the three periods of the other kind that differ are emptied.
+    assert len(rebuild_retention(spark, home, iso_period=True)) == 8
+    assert len(read_retention(spark, home).collect()) == 5
+    versions.vacuum(spark, f"{home}/mart/f_sales", keep=1, older_than=0)
+    load_day(spark, str(feed), home, calendar, day(9))
+    versions.vacuum(spark, f"{home}/mart/f_sales", keep=1, older_than=0)
+    # The version the mart was made from is gone.
+    assert len(rebuild_retention(spark, home, iso_period=True)) == 5

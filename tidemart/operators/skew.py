@@ -71,6 +71,28 @@ def split_hot(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> H
     )
 
 
+def join_back(
+    rows: DataFrame, totals: DataFrame, keys: Sequence[str], count: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Join rows to what was aggregated from them; NULL counts as a key.
+
+    ``totals`` has one row per key and in ``count`` how many rows went into it. It is written
+    first: joined as it is, it would be made in the tasks of the join, whose hot keys Spark then
+    cannot split. Keys of more than ``hot_rows`` rows, of which there can only be few, meet
+    a broadcast of their totals where they are; adaptive splitting takes care of the others.
+    """
+    keys = list(keys)
+    totals = write_shared(totals, "totals")
+    hubs = totals.filter(F.col(count) > hot_rows)
+    if not hubs.limit(1).count():
+        return null_safe_join(rows, totals.drop(count), keys)
+    small = fits_broadcast(hubs)
+    hot = null_safe_join(rows, hubs.drop(count), keys, small=small)
+    rest = null_safe_join(rows, hubs.select(*keys), keys, "left_anti", small=small)
+    others = totals.filter(F.col(count) <= hot_rows).drop(count)
+    return hot.unionByName(null_safe_join(rest, others, keys))
+
+
 SKEW_JOINS = ("inner", "left", "left_semi", "left_anti")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.numeric import percent, percent_change
 from tidemart.operators.ordering import CHUNK, PLACE, place_in_order
-from tidemart.operators.skew import HOT_ROWS, HotSplit, fits_broadcast, null_safe_join, split_hot
+from tidemart.operators.skew import HOT_ROWS, HotSplit, fits_broadcast, join_back, null_safe_join, split_hot
 from tidemart.session import write_shared
 
 
@@ -23,18 +23,19 @@ def latest_per_key(
     keys: Sequence[str],
     order: Sequence[str],
     keep_ties: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The last row of each key along ``order``.
 
     One row per key: ``order`` should be total, and the maximum is combined
     before the shuffle, so a heavy key costs one row per task. ``keep_ties``
-    returns every row that shares the last value of ``order``, however many; a
-    heavy key is then split by adaptive skew handling. NULL counts as a key.
+    returns every row that shares the last value of ``order``, however many;
+    rows of a key with more than ``hot_rows`` are then not shuffled. NULL counts as a key.
     """
     keys, order = list(keys), list(order)
     if keep_ties:
-        last = df.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_last"))
-        tied = null_safe_join(df, last, keys)
+        last = df.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_last"), F.count(F.lit(1)).alias("_rows"))
+        tied = join_back(df, last, keys, "_rows", hot_rows)
         return tied.filter(F.struct(*order) == F.col("_last")).select(*df.columns)
     others = [c for c in df.columns if c not in keys and c not in order]
     last = F.max(F.struct(*order, *others)).alias("_last")

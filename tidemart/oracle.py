@@ -361,7 +361,20 @@ def _statements() -> dict[str, str]:
         "dim_transfer": _with(" SELECT * FROM transfers", "transfers"),
         "shipping_info": _with(" SELECT * FROM info", "info"),
         "shipping_status": _with(" SELECT * FROM last_state", "last_state"),
-        "shipping_status_ties": _with(" SELECT * FROM last_state", "last_state"),
+        "shipping_status_ties": _with(
+            """
+            , busy AS (
+                SELECT CASE WHEN shippingid % 3 = 0 THEN 0 ELSE shippingid END AS shippingid, status, state,
+                       date_trunc('day', moment) AS moment FROM delivery_log
+            ), last_days AS (
+                SELECT shippingid, MAX(moment) AS moment, MAX(moment) FILTER (state = 'booked') AS booked,
+                       MAX(moment) FILTER (state = 'received' OR state = 'recieved') AS received
+                FROM busy GROUP BY shippingid)
+            SELECT b.shippingid, b.status, b.state, l.booked::TIMESTAMP AS shipping_start_fact_datetime,
+                   l.received::TIMESTAMP AS shipping_end_fact_datetime
+            FROM busy b JOIN last_days l ON l.shippingid = b.shippingid AND l.moment = b.moment""",
+            "delivery_log",
+        ),
         "shipping_datamart": _with(
             """
             SELECT i.shippingid, i.vendorid, t.transfer_type,
@@ -425,6 +438,18 @@ def _statements() -> dict[str, str]:
             FROM landed""",
             "cleaned",
         ),
+        "daily_increment_dated": _with(
+            f"""
+            , landed AS (
+                SELECT * EXCLUDE (payment_amount), date_time >= TIMESTAMP '2001-07-01' AS increment,
+                       (CASE WHEN increment AND flag = 'R' THEN -price ELSE price END)::DECIMAL(14,2)
+                           AS payment_amount
+                FROM cleaned)
+            SELECT {_LOG_COLUMNS},
+                   CASE WHEN increment THEN strftime(date_time, '%Y-%m-%d') ELSE '2001-06-30' END AS dt
+            FROM landed""",
+            "cleaned",
+        ),
         "retail_load_fact": _with(
             """
             SELECT date_id, item_id, customer_id, city_id, quantity, amount AS payment_amount,

@@ -2,8 +2,9 @@
 
 Layout under a warehouse folder: ``staging/user_order_log`` by day of the file,
 ``mart/f_sales`` by day of the row, ``mart/d_city``, ``mart/d_item``, ``mart/d_customer`` appended,
-``mart/f_customer_retention`` rebuilt. Every step can be run again: staging and
-fact days are replaced, and only keys a dimension lacks are appended.
+``mart/f_customer_retention`` by period. Every step can be run again: staging and
+fact days are replaced, and only keys a dimension lacks are appended. Each table is a list of
+committed versions, so a step that fails leaves its table as it was.
 """
 
 from __future__ import annotations
@@ -15,14 +16,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart import schemas
-from tidemart.operators.cleaning import clean_log
+from tidemart.functions.temporal import date_of_key, period_key
 from tidemart.plans import retail
+from tidemart.schemas import conform
 from tidemart.session import in_parallel
+from tidemart.sources import versions
 from tidemart.sources.landing import DAY, read_staged, stage_days
-from tidemart.sources.tables import append_rows, read_or_empty, save_mart
+from tidemart.sources.tables import append_rows, read_or_empty
 from tidemart.streaming.ingest import ingest_days
 
 STAGING = "staging/user_order_log"
+PERIOD = "period"
+# The period of rows on days the calendar lacks.
+NO_PERIOD = "none"
 
 _DIMS = {
     "d_item": (retail.dim_item, schemas.DIM_ITEM),
@@ -31,13 +37,6 @@ _DIMS = {
 }
 
 
-def _clean(log: DataFrame) -> DataFrame:
-    """The cleaned log, in which a row later than its file's day raises."""
-    late = F.to_date("date_time") > F.to_date(DAY)
-    unfit = F.raise_error(F.concat(F.lit("a row is later than its file's day "), F.col(DAY)))
-    return clean_log(log).withColumn(DAY, F.when(late, unfit).otherwise(F.col(DAY)))
-
-
 def load_day(
     spark: SparkSession, feed: str, warehouse: str, calendar: DataFrame, day: dt.date
 ) -> None:
@@ -55,9 +54,9 @@ def load_days(
     which ``load_fact`` brings in.
     """
     target = schemas.USER_ORDER_LOG
-    if not ingest_days(spark, feed, f"{warehouse}/{STAGING}", target, days, clean=_clean):
+    if not ingest_days(spark, feed, f"{warehouse}/{STAGING}", target, days):
         return
-    log = read_staged(spark, f"{warehouse}/{STAGING}", target).filter(F.col(DAY).isin(list(days)))
+    log = read_staged(spark, f"{warehouse}/{STAGING}", target, days)
 
     def append(name: str) -> None:
         new_rows, schema = _DIMS[name]
@@ -76,7 +75,7 @@ def load_fact(
 
     Staging is kept by the day of the file, the fact by the day of the row, so
     rows that came late or with a history export are found in whichever file
-    brought them. A row is never later than its file's day (``load_days`` raises on
+    brought them. A row is never later than its file's day (``ingest_days`` raises on
     one), so folders before ``first`` are not opened. Days of the range without rows
     are emptied.
     """
@@ -88,8 +87,58 @@ def load_fact(
     stage_days(fact, f"{warehouse}/mart/f_sales", by_day=False, days=days)
 
 
-def rebuild_retention(spark: SparkSession, warehouse: str, iso_period: bool = False) -> None:
-    """Recompute the weekly mart from the whole fact table."""
-    fact = read_staged(spark, f"{warehouse}/mart/f_sales", schemas.SALES_FACT)
-    weekly = retail.customer_retention_weekly(fact, iso_period=iso_period)
-    save_mart(weekly, f"{warehouse}/mart/f_customer_retention", schemas.CUSTOMER_RETENTION)
+def _period_names(fact: DataFrame, iso_period: bool) -> DataFrame:
+    """dt and the period of its rows as text, each pair once."""
+    period = period_key(date_of_key(F.col("date_id")), iso_period)
+    return fact.select(DAY, F.coalesce(period.cast("string"), F.lit(NO_PERIOD)).alias(PERIOD)).distinct()
+
+
+def rebuild_retention(
+    spark: SparkSession, warehouse: str, iso_period: bool = False, full: bool = False
+) -> list[str]:
+    """Bring the weekly mart up to date with the fact table; returns the periods recomputed.
+
+    The mart's version notes the fact version it was made from and the periods of each fact day.
+    Days that another write has replaced since then tell which periods are touched; only the
+    days of those are read, and only those periods replaced. ``full``, another kind of
+    period, or a fact version that is no longer kept, recompute all.
+    """
+    fact_path, path = f"{warehouse}/mart/f_sales", f"{warehouse}/mart/f_customer_retention"
+    now, mart = versions.latest(spark, fact_path), versions.latest(spark, path)
+    made_from = mart.notes.get("fact_version")
+    before = versions.version_of(spark, fact_path, made_from) if made_from else None
+    if full or before is None or mart.notes.get("iso_period") != iso_period:
+        before, known, touched = versions.Version(), {}, set(mart.parts)
+    else:
+        known, touched = dict(mart.notes["periods"]), set()
+
+    def days(wanted) -> DataFrame:
+        return versions.read_table(spark, fact_path, schemas.SALES_FACT, DAY, wanted, now)
+
+    changed = {d for d in {*before.parts, *now.parts} if before.parts.get(d) != now.parts.get(d)}
+    for day in changed:
+        touched.update(known.pop(day, []))
+    # A row per day and period.
+    for row in _period_names(days(changed), iso_period).collect():
+        known.setdefault(row[DAY], []).append(row[PERIOD])
+        touched.add(row[PERIOD])
+    if not touched and mart.number:
+        return []
+    weekly = retail.customer_retention_weekly(
+        days(d for d, periods in known.items() if touched.intersection(periods)), iso_period=iso_period
+    )
+    rows = conform(weekly, schemas.CUSTOMER_RETENTION).withColumn(
+        PERIOD, F.coalesce(F.col("period_id").cast("string"), F.lit(NO_PERIOD))
+    )
+    notes = {"fact_version": now.number, "iso_period": iso_period, "periods": known}
+    wanted = sorted(touched)
+    versions.replace_parts(rows.filter(F.col(PERIOD).isin(wanted)), path, PERIOD, wanted, notes)
+    return wanted
+
+
+def read_retention(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The weekly mart."""
+    mart = versions.read_table(
+        spark, f"{warehouse}/mart/f_customer_retention", schemas.CUSTOMER_RETENTION, PERIOD
+    )
+    return mart.drop(PERIOD)

@@ -18,7 +18,7 @@ from tidemart.functions.numeric import percent
 from tidemart.functions.temporal import full_days
 from tidemart.functions.text import split_fields
 from tidemart.operators.keys import surrogate_key
-from tidemart.operators.skew import null_safe_join
+from tidemart.operators.skew import HOT_ROWS, join_back
 from tidemart.schemas import (
     SHIPPING_AGREEMENT,
     SHIPPING_COUNTRY_RATES,
@@ -137,11 +137,13 @@ def shipping_status(
     log: DataFrame,
     received_states: Sequence[str] = C.RECEIVED_STATES,
     keep_ties: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Last status and state of each delivery, with its booked and received times.
 
     One combined aggregation of the log. Of several rows at the last instant the
-    highest log id counts; ``keep_ties`` returns them all.
+    highest log id counts; ``keep_ties`` returns them all, and then does not shuffle the rows
+    of deliveries with more than ``hot_rows``.
     """
     at, state = F.col("state_datetime"), F.col("state")
     times = {
@@ -151,9 +153,11 @@ def shipping_status(
     marks = [column.alias(name) for name, column in times.items()]
     if keep_ties:
         # A NULL time is the last one only where there is no other.
-        last = log.groupBy("shippingid").agg(F.max("state_datetime").alias("_last"), *marks)
+        last = log.groupBy("shippingid").agg(
+            F.max("state_datetime").alias("_last"), *marks, F.count(F.lit(1)).alias("_rows")
+        )
         rows = log.select("shippingid", "status", "state", "state_datetime")
-        tied = null_safe_join(rows, last, ["shippingid"])
+        tied = join_back(rows, last, ["shippingid"], "_rows", hot_rows)
         return tied.filter(F.col("state_datetime").eqNullSafe(F.col("_last"))).select(
             "shippingid", "status", "state", *times
         )

@@ -19,14 +19,15 @@ from tidemart.sources import adapters
 from tidemart.sources.landing import (
     DAY,
     day_folder,
+    name_by_day,
     read_csv,
     read_staged,
     union_generations,
     write_csv,
     write_csv_days,
 )
-from tidemart.sources.tables import publish_view, table
-from tidemart.streaming.ingest import catch_up_days, ingest_arrivals, ingest_days
+from tidemart.sources.tables import publish_view, read_or_empty, table
+from tidemart.streaming.ingest import catch_up_days, ingest_arrivals, ingest_days, stream_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -266,7 +267,13 @@ def shipping_status(spark, root):
 
 @query
 def shipping_status_ties(spark, root):
-    return shipping.shipping_status(adapters.shipping_log(spark, root), keep_ties=True)
+    """States by day, so that several share the last one, and a third of the orders as one delivery."""
+    key = F.col("shippingid")
+    log = adapters.shipping_log(spark, root).withColumns({
+        "shippingid": F.when(key % 3 == 0, 0).otherwise(key),
+        "state_datetime": F.to_date("state_datetime").cast("timestamp_ntz"),
+    })
+    return shipping.shipping_status(log, keep_ties=True)
 
 
 @query
@@ -342,20 +349,35 @@ def daily_increment(spark, root):
     feed = _land_orders(spark, root)
     staging = fresh_path(spark, "staging")
     target = schemas.USER_ORDER_LOG
-    ingest_arrivals(spark, feed, staging, target, fresh_path(spark, "ingest-state"))
+    stream_arrivals(spark, feed, staging, target, fresh_path(spark, "ingest-state"))
     ingest_days(spark, feed, staging, target, catch_up_days(TODAY))
     return read_staged(spark, staging, target)
 
 
-def _loaded(spark, root) -> str:
+@query
+def daily_increment_dated(spark, root):
+    """The same feed as files named by their day, taken in by comparing file lists."""
+    feed = _land_orders(spark, root)
+    name_by_day(spark, f"{feed}/increments", "user_order_log_inc.csv")
+    staging, state = fresh_path(spark, "staging"), fresh_path(spark, "ingest-state")
+    ingest_arrivals(spark, feed, staging, schemas.USER_ORDER_LOG, state)
+    return read_staged(spark, staging, schemas.USER_ORDER_LOG)
+
+
+def _loaded(spark, root, weekly: bool = False) -> str:
     """A warehouse after the whole load: all files staged, dimensions appended, the days of the
-    increments loaded, the history's days backfilled."""
+    increments loaded, the history's days backfilled; ``weekly`` keeps the mart up to date."""
     feed, warehouse = _land_orders(spark, root), fresh_path(spark, "warehouse")
     calendar = write_shared(adapters.calendar(spark, root), "calendar")
     exported_on = INCREMENTS_SINCE - dt.timedelta(days=1)
     days = [exported_on + dt.timedelta(days=n) for n in range((FACT_LAST - exported_on).days + 1)]
     daily_load.load_days(spark, feed, warehouse, calendar, [d.isoformat() for d in days])
+    if weekly:
+        daily_load.rebuild_retention(spark, warehouse)
     daily_load.load_fact(spark, warehouse, calendar, FACT_FIRST, exported_on)
+    if weekly:
+        # Only the periods of the backfilled days.
+        daily_load.rebuild_retention(spark, warehouse)
     return warehouse
 
 
@@ -368,11 +390,15 @@ def retail_load_fact(spark, root):
 def retail_load_dims(spark, root):
     """The three dimensions one below the other."""
     mart = f"{_loaded(spark, root)}/mart"
-    city = spark.read.parquet(f"{mart}/d_city").select(
+
+    def dim(name: str, schema):
+        return read_or_empty(spark, f"{mart}/{name}", schema)
+
+    city = dim("d_city", schemas.DIM_CITY).select(
         F.lit("city").alias("dim"), F.col("city_id").cast("long").alias("id"), F.col("city_name").alias("name")
     )
-    item = spark.read.parquet(f"{mart}/d_item").select(F.lit("item").alias("dim"), "item_id", "item_name")
-    customer = spark.read.parquet(f"{mart}/d_customer").select(
+    item = dim("d_item", schemas.DIM_ITEM).select(F.lit("item").alias("dim"), "item_id", "item_name")
+    customer = dim("d_customer", schemas.DIM_CUSTOMER).select(
         F.lit("customer").alias("dim"), "customer_id", F.concat_ws("#", "first_name", "last_name", "city_id")
     )
     return city.union(item).union(customer)
@@ -380,27 +406,28 @@ def retail_load_dims(spark, root):
 
 @query
 def retail_load_weekly(spark, root):
-    warehouse = _loaded(spark, root)
-    daily_load.rebuild_retention(spark, warehouse)
-    return spark.read.parquet(f"{warehouse}/mart/f_customer_retention")
+    return daily_load.read_retention(spark, _loaded(spark, root, weekly=True))
 
 
-def _staged_feed(spark, feed: DataFrame, schema) -> DataFrame:
-    numbered = feed.select(F.xxhash64(*feed.columns).alias("id"), "*")
-    path = write_csv(numbered, fresh_path(spark, "feed"))
-    return schemas.conform(clean_log(read_csv(spark, [path])), schema)
+def _staged_feed(spark, feed: DataFrame, schema, ts: str) -> DataFrame:
+    """Land a feed as a folder per day, stage all days and read them back."""
+    daily = feed.select(F.xxhash64(*feed.columns).alias("id"), "*", F.to_date(ts).alias(DAY))
+    landed, staging = fresh_path(spark, "landing"), fresh_path(spark, "staging")
+    write_csv_days(daily, f"{landed}/increments", "id")
+    ingest_days(spark, landed, staging, schema, ts=ts)
+    return read_staged(spark, staging, schema).drop(DAY)
 
 
 @query
 def stage_customer_research(spark, root):
     feed = adapters.customer_research(spark, root)
-    return _staged_feed(spark, feed, schemas.CUSTOMER_RESEARCH)
+    return _staged_feed(spark, feed, schemas.CUSTOMER_RESEARCH, "date_id")
 
 
 @query
 def stage_user_activity(spark, root):
     feed = adapters.user_activity_log(spark, root)
-    return _staged_feed(spark, feed, schemas.USER_ACTIVITY_LOG)
+    return _staged_feed(spark, feed, schemas.USER_ACTIVITY_LOG, "date_time")
 
 
 @query

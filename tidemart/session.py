@@ -101,9 +101,15 @@ def in_parallel(*jobs: Callable[[], T]) -> list[T]:
         return list(pool.map(lambda job: job(), ready))
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system that holds ``path``, and the path as it knows it."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, target = file_system(spark, path)
     return files.exists(target)
 
 
@@ -113,8 +119,7 @@ def release_written(spark: SparkSession) -> int:
     Call it after the results have been saved: lazy frames may still read these tables.
     """
     paths = _written.pop(spark.sparkContext.applicationId, [])
-    jvm = spark.sparkContext._jvm
     for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        files, target = file_system(spark, path)
+        files.delete(target, True)
     return len(paths)

@@ -7,13 +7,17 @@ import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType, TimestampType
 
-from tidemart.session import in_parallel
+from tidemart.schemas import LONG, STRING, columns
+from tidemart.session import file_system, in_parallel, path_exists
+from tidemart.sources import versions
 
 DAY = "dt"
+# What ingest needs to know about a file; its content is not read.
+FILE = columns(path=STRING, modificationTime=TimestampType(), length=LONG, content=BinaryType())
 _CSV = {
     "header": "true",
     "escape": '"',
@@ -35,30 +39,55 @@ def day_of(path: str) -> str | None:
     return "-".join(name.groups()) if name else None
 
 
+def day_of_path(path: Column) -> Column:
+    """``day_of`` as a column; null where a path names no day."""
+    folder = F.regexp_extract(path, rf"/{DAY}=(\d{{4}}-\d{{2}}-\d{{2}})/", 1)
+    prefix = F.regexp_extract(path, r"(?:^|/)(\d{8}_)[^/]*$", 1)
+    named = F.regexp_replace(prefix, r"^(\d{4})(\d{2})(\d{2})_$", "$1-$2-$3")
+    return F.when(folder != "", folder).when(named != "", named)
+
+
 def day_folder(root: str, day: dt.date | str) -> str:
     return f"{root}/{DAY}={day}"
 
 
-def subfolders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders directly inside ``path``, in one file-system call."""
-    context = spark.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return []
-    return sorted(f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory())
+def name_by_day(spark: SparkSession, root: str, name: str) -> None:
+    """Turn the ``dt=`` folders of an export into files named ``YYYYMMDD_...`` beside each other."""
+    files, folder = file_system(spark, root)
+    for day in [f.getPath() for f in files.listStatus(folder) if f.isDirectory()]:
+        prefix = day.getName().removeprefix(f"{DAY}=").replace("-", "")
+        parts = [f.getPath() for f in files.listStatus(day) if f.getPath().getName()[0] not in "._"]
+        for i, part in enumerate(parts):
+            files.rename(part, file_system(spark, f"{root}/{prefix}_{i}_{name}")[1])
+        files.delete(day, True)
+
+
+def landed_files(spark: SparkSession, feed: str) -> DataFrame:
+    """path, modificationTime, length and dt of every file below a feed's folder; contents are not read.
+
+    A file that names no day has a null ``dt``. Files whose names begin with a dot or an underscore
+    are no data.
+    """
+    if not path_exists(spark, feed):
+        return spark.createDataFrame([], StructType([*FILE.fields[:3], StructField(DAY, StringType())]))
+    reader = spark.read.format("binaryFile").schema(FILE).option("recursiveFileLookup", "true")
+    files = reader.load(feed).select("path", "modificationTime", "length")
+    return files.withColumn(DAY, day_of_path(F.col("path")))
 
 
-def plain_files(spark: SparkSession, path: str) -> list[str]:
-    """Names of the files directly inside ``path``."""
-    context = spark.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
-    return sorted(f.getPath().getName() for f in files.listStatus(folder) if f.isFile())
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file."""
+    files, target = file_system(spark, path)
+    stream = files.open(target)
+    try:
+        java = spark.sparkContext._jvm.java.io
+        return java.BufferedReader(java.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
 
 
 def read_csv(
-    spark: SparkSession, paths: Sequence[str], base: str | None = None, multi_line: bool = True
+    spark: SparkSession, paths: Sequence[str], with_day: bool = False, multi_line: bool = True
 ) -> DataFrame:
     """Files of one generation (same header) as strings, selected by name.
 
@@ -67,7 +96,7 @@ def read_csv(
     rather than shifting values. Values are kept as they are or the read fails: a
     row with more or fewer fields than the header raises. Quoted line breaks are
     read with ``multi_line``, which keeps a file in one task; turn it off for large
-    exports that have none. ``base`` adds the ``dt`` folder as a column.
+    exports that have none. ``with_day`` adds the day that each row's file names.
     """
     options = {**_CSV, "multiLine": str(multi_line).lower(), "mode": "FAILFAST"}
     header = spark.read.options(**options).csv(paths[0]).columns
@@ -76,40 +105,43 @@ def read_csv(
     schema = StructType([StructField(c, StringType()) for c in named])
     # Without pruning, so that every field of a row is seen.
     reader = spark.read.options(**options, enforceSchema="false", columnPruning="false").schema(schema)
-    if base is None:
-        return reader.csv(list(paths)).toDF(*header)
-    files = reader.option("basePath", base).csv(list(paths)).toDF(*header, DAY)
-    return files.withColumn(DAY, F.col(DAY).cast("string"))
+    rows = reader.csv(list(paths))
+    if not with_day:
+        return rows.toDF(*header)
+    return rows.select("*", day_of_path(F.col("_metadata.file_path"))).toDF(*header, DAY)
 
 
 def read_generations(
     spark: SparkSession, feed: str, days: Iterable[str] | None = None
 ) -> list[DataFrame]:
-    """One frame per file generation of a feed, limited to ``days`` where given.
+    """One frame per file generation (one header) of a feed, limited to ``days`` where given.
 
-    A feed folder holds one folder per generation of a single header, each with
-    ``dt=YYYY-MM-DD`` folders (the day of the file, so a history export is one
-    folder), with files named ``YYYYMMDD_...``, or both. Only the wanted days' files
-    are opened. The frames are kept apart because their columns differ; clean them,
-    then union by name.
+    Files lie anywhere below the feed's folder, in ``dt=YYYY-MM-DD`` folders (the day of the
+    file, so a history export is one folder) or named ``YYYYMMDD_...``; one of neither kind
+    raises, so none is left out unnoticed. Only the wanted days' files are opened. The frames are kept
+    apart because their columns differ; clean them, then union by name.
     """
-    wanted = None if days is None else set(days)
-    jobs = []
-    for generation in subfolders(spark, feed):
-        root = f"{feed}/{generation}"
-        present = [n.removeprefix(f"{DAY}=") for n in subfolders(spark, root)]
-        held = [day_folder(root, d) for d in present if wanted is None or d in wanted]
-        held = [h for h in held if any(n[0] not in "._" for n in plain_files(spark, h))]
-        if held:
-            jobs.append(lambda root=root, held=held: read_csv(spark, held, base=root))
-        for name in plain_files(spark, root):
-            day = day_of(name)
-            if day and (wanted is None or day in wanted):
-                jobs.append(
-                    lambda path=f"{root}/{name}", day=day: read_csv(spark, [path]).withColumn(DAY, F.lit(day))
-                )
+    files = landed_files(spark, feed)
+    lost = files.filter(F.col(DAY).isNull()).select("path").first()
+    if lost:
+        raise ValueError(f"no day in the name of {lost.path}")
+    if days is not None:
+        files = files.filter(F.col(DAY).isin(list(days)))
+    parent, name = F.regexp_extract("path", r"^(.*)/[^/]*$", 1), F.regexp_extract("path", r"[^/]*$", 0)
+    inside = F.regexp_extract("path", rf"/({DAY}=\d{{4}}-\d{{2}}-\d{{2}})/", 1) != ""
+    places = (
+        files.filter("length > 0 AND path NOT RLIKE '/[._][^/]*$'")
+        .groupBy(F.when(inside, parent).otherwise(F.concat_ws("/", parent, name)).alias("place"))
+        .agg(F.min("path").alias("first"))
+    )
+    # Bounded by the calendar: folders of a day, or one file of a day each.
+    found = sorted((r["place"], r["first"]) for r in places.collect())
+    headers = in_parallel(*[lambda path=path: first_line(spark, path) for _, path in found])
+    generations: dict[str | None, list[str]] = {}
+    for (place, _), header in zip(found, headers):
+        generations.setdefault(header, []).append(place)
     # Listing many folders takes a Spark job per generation.
-    return in_parallel(*jobs)
+    return in_parallel(*[lambda held=held: read_csv(spark, held, with_day=True) for held in generations.values()])
 
 
 def union_generations(frames: Sequence[DataFrame]) -> DataFrame:
@@ -139,37 +171,25 @@ def stage_days(
 ) -> None:
     """Replace the staged days that ``df`` contains and leave every other day alone.
 
-    ``days`` are replaced too if ``df`` has no rows for them: once the write is
-    done their folders are removed.
-    Loading a day again gives the same table, where an append would repeat it.
+    ``days`` are emptied if ``df`` has no rows for them. All days change at once, when the
+    write is done; until then, and if it fails, readers see the old ones. Loading a day again
+    gives the same table, where an append would repeat it.
     Rows read from daily folders (``by_day``) already lie together and are
     written where they were read, without a shuffle. Rows in any other order are
     rebalanced first, which gathers a day into few files and splits a day too
     heavy for one task.
     """
-    rows = df if by_day else df.hint("rebalance", DAY)
-    seen = Observation()
-    if days is not None:
-        # Bounded by the calendar.
-        rows = rows.observe(seen, F.collect_set(F.col(DAY).cast("string")).alias("days"))
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
-        .parquet(path)
-    )
-    if days is not None:
-        for day in set(days) - set(seen.get["days"]):
-            _remove(df.sparkSession, day_folder(path, day))
+    versions.replace_parts(df if by_day else df.hint("rebalance", DAY), path, DAY, days or ())
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    context = spark.sparkContext
-    target = context._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+def staged_days(spark: SparkSession, path: str) -> list[str]:
+    """The days a staged table holds rows of."""
+    return sorted(versions.latest(spark, path).parts)
 
 
-def read_staged(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A staged table with its ``dt`` column; filters on ``dt`` prune folders."""
-    full = StructType([*schema.fields, StructField(DAY, StringType())])
-    return spark.read.schema(full).parquet(path)
+def read_staged(
+    spark: SparkSession, path: str, schema: StructType, days: Iterable[str] | None = None
+) -> DataFrame:
+    """A staged table with its ``dt`` column. Filters on ``dt`` prune folders; folders outside ``days``
+    are not even listed."""
+    return versions.read_table(spark, path, schema, DAY, days)

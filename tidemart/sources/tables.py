@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tidemart.schemas import conform
-from tidemart.session import path_exists
+from tidemart.sources import versions
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -22,16 +22,14 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A table that may not have been loaded yet."""
-    if path_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    return versions.read_table(spark, path, schema)
 
 
 def save_mart(df: DataFrame, path: str, schema: StructType) -> None:
-    """Rebuild a mart table in full, in its declared schema."""
-    conform(df, schema).write.mode("overwrite").parquet(path)
+    """Rebuild a mart table in full, in its declared schema; the old one stays readable until then."""
+    versions.replace_all(conform(df, schema), path)
 
 
 def append_rows(df: DataFrame, path: str, schema: StructType) -> None:
     """Insert rows into a table. Only for rows known to be new, such as ``new_dim_rows``."""
-    conform(df, schema).write.mode("append").parquet(path)
+    versions.append(conform(df, schema), path)

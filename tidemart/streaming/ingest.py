@@ -7,31 +7,41 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructType, TimestampType
+from pyspark.sql.types import StructType
 
 from tidemart.operators.cleaning import clean_log
-from tidemart.schemas import LONG, STRING, columns, conform
+from tidemart.schemas import conform
 from tidemart.session import write_shared
 from tidemart.sources.landing import (
     DAY,
+    FILE,
+    day_of_path,
+    landed_files,
     read_generations,
     read_staged,
     stage_days,
-    subfolders,
+    staged_days,
     union_generations,
 )
+from tidemart.sources.versions import latest, read_table, replace_all
 
 Clean = Callable[[DataFrame], DataFrame]
 
-# What ingest needs to know about a file; its content is not read.
-_FILE = columns(path=STRING, modificationTime=TimestampType(), length=LONG, content=BinaryType())
-
 
 def catch_up_days(today: dt.date, back: int = 8) -> list[str]:
     """The days from ``back`` days ago to yesterday."""
     return [(today - dt.timedelta(days=n)).isoformat() for n in range(back, 0, -1)]
 
 
+def _on_time(rows: DataFrame, ts: str | None) -> DataFrame:
+    """Rows whose day by ``ts`` is later than their file's day raise."""
+    if ts is None or ts not in rows.columns:
+        return rows
+    late = F.to_date(ts) > F.to_date(DAY)
+    unfit = F.raise_error(F.concat(F.lit("a row is later than its file's day "), F.col(DAY)))
+    return rows.withColumn(DAY, F.when(late, unfit).otherwise(F.col(DAY)))
+
+
 def ingest_days(
     spark: SparkSession,
     feed: str,
@@ -39,22 +49,24 @@ def ingest_days(
     schema: StructType,
     days: Sequence[str] | None = None,
     clean: Clean = clean_log,
+    ts: str | None = "date_time",
 ) -> bool:
     """Clean the landing files of ``days`` (all if None) and replace those days in staging.
 
     Days are complete when they are replaced: every generation contributes its
     files, and a wanted day without rows (its files hold none, or are gone) is
-    emptied. Returns whether there was anything to load or to empty.
+    emptied. A file of no day raises, as does a row dated by ``ts`` after its file's day (readers
+    of staging rely on that); None asks for no such check. Returns whether there was anything to
+    load or to empty.
     """
     frames = read_generations(spark, feed, days)
     if frames:
-        cleaned = [conform(clean(f), schema, DAY) for f in frames]
+        cleaned = [conform(_on_time(clean(f), ts), schema, DAY) for f in frames]
         stage_days(union_generations(cleaned), staging, days=days)
         return True
-    gone = {f"{DAY}={d}" for d in days or ()} & set(subfolders(spark, staging))
+    gone = sorted(set(days or ()) & set(staged_days(spark, staging)))
     if gone:
-        empty = read_staged(spark, staging, schema).limit(0)
-        stage_days(empty, staging, days=[g.removeprefix(f"{DAY}=") for g in gone])
+        stage_days(read_staged(spark, staging, schema).limit(0), staging, days=gone)
     return bool(gone)
 
 
@@ -64,6 +76,14 @@ def ingest_bulk(log: DataFrame, staging: str, schema: StructType, ts: str = "dat
     stage_days(rows, staging, by_day=False)
 
 
+def _days_of(files: DataFrame) -> list[str]:
+    """The days of listed files; one of no day raises. Bounded by the calendar."""
+    lost = files.filter(F.col(DAY).isNull()).select("path").first()
+    if lost:
+        raise ValueError(f"no day in the name of {lost.path}")
+    return sorted(r[DAY] for r in files.select(DAY).distinct().collect())
+
+
 def ingest_arrivals(
     spark: SparkSession,
     feed: str,
@@ -71,29 +91,58 @@ def ingest_arrivals(
     schema: StructType,
     checkpoint: str,
     clean: Clean = clean_log,
+    ts: str | None = "date_time",
 ) -> None:
     """Stage every day whose files changed since the last run.
 
     The feed's files are listed with their time and length (their content is not read) and
     compared with the list kept in ``checkpoint``. A day with a new, rewritten or removed
     file, however old, is read in full and replaced, so a run repeated after a failure
-    leaves the same table. A file that belongs to no day raises. (Spark's file stream knows
-    files by name only and forgets old ones, so it cannot tell.)
+    leaves the same table. A file that belongs to no day raises. ``stream_arrivals`` is the
+    cheaper way for feeds whose files are only ever added.
     """
-    kept = sorted(int(n.removeprefix("run=")) for n in subfolders(spark, checkpoint))
-    reader = spark.read.format("binaryFile").schema(_FILE).option("recursiveFileLookup", "true")
-    now = write_shared(reader.load(feed).select("path", "modificationTime", "length"), "feed-files")
-    before = spark.read.schema(now.schema).parquet(f"{checkpoint}/run={kept[-1]}") if kept else now.limit(0)
+    now = write_shared(landed_files(spark, feed), "feed-files")
+    last = latest(spark, checkpoint)
+    before = read_table(spark, checkpoint, now.schema, version=last)
     same = ["path", "modificationTime", "length"]
     touched = now.join(before, same, "left_anti").unionByName(before.join(now, same, "left_anti"))
-    folder = F.regexp_extract("path", rf"/{DAY}=(\d{{4}}-\d{{2}}-\d{{2}})/", 1)
-    prefix = F.regexp_replace(F.regexp_extract("path", r"/(\d{8})_[^/]*$", 1), r"(\d{4})(\d{2})(\d{2})", "$1-$2-$3")
-    day = F.when(folder != "", folder).otherwise(prefix)
-    lost = touched.filter(day == "").select("path").first()
-    if lost:
-        raise ValueError(f"no day in the name of {lost.path}")
-    # Bounded by the calendar, not by the number of files.
-    days = sorted(r[DAY] for r in touched.select(day.alias(DAY)).distinct().collect())
+    days = _days_of(touched)
     if days:
-        ingest_days(spark, feed, staging, schema, days, clean)
-    now.write.mode("overwrite").parquet(f"{checkpoint}/run={kept[-1] + 1 if kept else 0}")
+        ingest_days(spark, feed, staging, schema, days, clean, ts)
+    replace_all(now, checkpoint)
+
+
+def stream_arrivals(
+    spark: SparkSession,
+    feed: str,
+    staging: str,
+    schema: StructType,
+    checkpoint: str,
+    clean: Clean = clean_log,
+    ts: str | None = "date_time",
+    files_per_batch: int = 1000,
+) -> None:
+    """Stage the days of all files that arrived since the last run, as a bounded file stream.
+
+    The stream's checkpoint remembers the files by name; those not seen yet go through in
+    batches of ``files_per_batch``, and the run ends with the last of them. A batch replaces its
+    days in full, so one that is repeated after a failure leaves the same table. Files
+    rewritten under their names and removed ones are no arrivals: ``ingest_arrivals`` finds those.
+    """
+
+    def stage(batch: DataFrame, _: int) -> None:
+        days = _days_of(batch.withColumn(DAY, day_of_path(F.col("path"))))
+        if days:
+            ingest_days(batch.sparkSession, feed, staging, schema, days, clean, ts)
+
+    # A file counts however old it is; without the option those a week older than the newest are passed over.
+    options = {"recursiveFileLookup": "true", "maxFilesPerTrigger": str(files_per_batch), "maxFileAge": "36500d"}
+    files = spark.readStream.format("binaryFile").schema(FILE).options(**options).load(feed)
+    query = (
+        files.select("path")
+        .writeStream.foreachBatch(stage)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
