@@ -21,6 +21,7 @@ _DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+LISTING_TASKS = 64
 # Driver threads that submit jobs at the same time.
 DRIVER_THREADS = 8
 
@@ -108,6 +109,16 @@ def file_system(spark: SparkSession, path: str):
     return target.getFileSystem(context._jsc.hadoopConfiguration()), target
 
 
+def list_in_few_tasks(spark: SparkSession) -> None:
+    """Let Spark list many folders in ``LISTING_TASKS`` tasks, unless the session says otherwise.
+
+    Its own default is a task per folder, of which a table by day has thousands.
+    """
+    setting, default = "spark.sql.sources.parallelPartitionDiscovery.parallelism", "10000"
+    if spark.conf.get(setting, default) == default:
+        spark.conf.set(setting, str(LISTING_TASKS))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     files, target = file_system(spark, path)
     return files.exists(target)

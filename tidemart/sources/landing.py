@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType, TimestampType
 
 from tidemart.schemas import LONG, STRING, columns
-from tidemart.session import file_system, in_parallel, path_exists
+from tidemart.session import file_system, in_parallel, list_in_few_tasks, path_exists
 from tidemart.sources import versions
 
 DAY = "dt"
@@ -70,6 +70,7 @@ def landed_files(spark: SparkSession, feed: str) -> DataFrame:
     """
     if not path_exists(spark, feed):
         return spark.createDataFrame([], StructType([*FILE.fields[:3], StructField(DAY, StringType())]))
+    list_in_few_tasks(spark)
     reader = spark.read.format("binaryFile").schema(FILE).option("recursiveFileLookup", "true")
     files = reader.load(feed).select("path", "modificationTime", "length")
     return files.withColumn(DAY, day_of_path(F.col("path")))
