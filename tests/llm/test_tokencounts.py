@@ -87,3 +87,14 @@ def test_redaction(frame, encoder):
         assert got[i]["n_tokens_edited"] == _whole(encoder, text)
     assert [got[i]["n_edits"] for i in range(5)] == [1, 2, 0, 0, 0]
     assert tc.count_and_redact(frame([])).collect() == [] and tc.count_tokens(frame([])).collect() == []
+
+
+def test_documents_with_one_id_keep_their_own_trees(spark, frame):
+    rows = [(1, "one two three"), (1, "a much longer text, of ten words and more."), (1, "one two three"), (2, "other")]
+    trees = tc.count_tokens(frame(rows))
+    edits = spark.createDataFrame([(1, 0, 3, "none at all")], "doc_id long, start int, stop int, new string")
+    got = tc.recount(frame(rows), trees, edits).collect()
+    want = sorted("none at all" + t[3:] for i, t in rows if i == 1)
+    assert sorted(r["text"] for r in got) == want
+    exact = {r["text_hash"]: r["n_tokens"] for r in tc.count_tokens(frame([(1, t) for t in want])).collect()}
+    assert all(r["n_tokens"] == exact[r["text_hash"]] and sum(r["leaf_chars"]) == len(r["text"]) for r in got)

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -199,8 +199,13 @@ def _parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at)
 
 
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+
+
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """doc_id, n_tokens and the tree's leaves (leaf_chars, leaf_tokens) of every row of ``docs`` (doc_id, text)."""
+    """doc_id, text_hash, n_tokens and the tree's leaves (leaf_chars, leaf_tokens) of every row of
+    ``docs`` (doc_id, text); the hash tells a tree's text among documents with one id."""
     make = _sent(docs.sparkSession, vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,31 +218,36 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
+                        part.column("text_hash"),
                         pa.array([t.tokens for t in trees], pa.int64()),
                         pa.array([x[0] for x in leaves], kind),
                         pa.array([x[1] for x in leaves], kind),
                     ],
-                    ["doc_id", "n_tokens", "leaf_chars", "leaf_tokens"],
+                    ["doc_id", "text_hash", "n_tokens", "leaf_chars", "leaf_tokens"],
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(
-        count, f"doc_id {kind}, n_tokens long, leaf_chars array<long>, leaf_tokens array<long>"
+    return docs.select("doc_id", _text_hash(), "text").mapInArrow(
+        count, f"doc_id {kind}, text_hash long, n_tokens long, leaf_chars array<long>, leaf_tokens array<long>"
     )
 
 
 def recount(docs: DataFrame, trees: DataFrame, edits: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """doc_id, text and tree of the edited documents, with n_edits and n_reread (characters cut anew).
+    """doc_id, text, text_hash and tree of the edited documents, with n_edits and n_reread (characters cut anew).
 
-    ``trees`` is what ``count_tokens`` gave (one row per id); ``edits`` has doc_id, start, stop
+    ``trees`` is what ``count_tokens`` or ``recount`` gave; ``edits`` has doc_id, start, stop
     and new: the characters from start up to stop are replaced. Documents without edits are
-    not read; one document's edits are handled together.
+    not read; one document's edits are handled together. Of documents with equal ids each takes
+    the edits, with the tree of its own text.
     """
     make = _sent(docs.sparkSession, vocabulary)
     change = F.struct(*[F.col(c).cast("long" if c != "new" else "string").alias(c) for c in ("start", "stop", "new")])
     valid = F.col("start").isNotNull() & F.col("stop").isNotNull()
     lists = edits.filter(valid).groupBy("doc_id").agg(F.collect_list(change).alias("edits"))
-    rows = trees.select("doc_id", "leaf_chars", "leaf_tokens").join(lists, "doc_id").join(docs.select("doc_id", "text"), "doc_id")
+    # Equal texts have equal trees; one of them serves all.
+    own = trees.select("doc_id", "text_hash", "leaf_chars", "leaf_tokens").join(lists, "doc_id")
+    own = own.dropDuplicates(["doc_id", "text_hash"])
+    rows = docs.select("doc_id", _text_hash(), "text").join(own, ["doc_id", "text_hash"])
 
     def update(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = make()
@@ -262,7 +272,7 @@ def recount(docs: DataFrame, trees: DataFrame, edits: DataFrame, vocabulary: str
         update,
         f"doc_id {kind}, text string, n_tokens long, leaf_chars array<long>, leaf_tokens array<long>, "
         "n_edits long, n_reread long",
-    )
+    ).withColumn("text_hash", _text_hash())
 
 
 def count_and_redact(
