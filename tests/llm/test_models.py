@@ -68,6 +68,33 @@ def test_toxicity(spark, frame):
     assert np.mean([s < 0.5 for s in clean]) > 0.93
 
 
+def test_toxic_documents_are_found_and_long_clean_ones_left(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    apart = held_out(F.col("doc_id"), 5, 0)
+    got = toxicity.toxicity(docs, labels, ~apart).join(labels, "doc_id").withColumn("apart", apart).collect()
+    toxic = [r["score"] >= 0.5 for r in got if r["apart"] and r["toxic"]]
+    clean = [r["score"] >= 0.5 for r in got if r["apart"] and not r["toxic"]]
+    assert np.mean(toxic) > 0.8 and np.mean(clean) < 0.02
+    long = [r["score"] >= 0.5 for r in got if r["n_sentences"] > 200 and not r["toxic"]]
+    assert len(long) > 10 and np.mean(long) < 0.1
+
+
+def test_toxicity_equals_a_plain_pass(spark, frame):
+    """Scores, sentence by sentence, from the learned weights, without numpy's batching."""
+    docs, labels = _read(spark, "documents").limit(150), _read(spark, "labels")
+    apart = held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.train(_read(spark, "documents"), labels, ~apart)
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity(_read(spark, "documents"), labels, ~apart).collect()}
+    for r in docs.collect():
+        clean = 1.0
+        bag = [toxicity.sentences_of(t) for t in textbytes.texts_of(pa.array([r["text"] or ""]))][0]
+        for i, start in enumerate(bag.first):
+            end = bag.first[i + 1] if i + 1 < len(bag.first) else len(bag.slots)
+            z = model.bias + sum(float(model.weights[s]) for s in bag.slots[start:end])
+            clean *= 1 - 1 / (1 + np.exp(-z))
+        assert abs(got[r["doc_id"]] - (1 - clean)) < 1e-6
+
+
 def test_noisy_or_learns_words_and_finds_sentences():
     rng = np.random.default_rng(4)
     texts, y = [], []

@@ -9,9 +9,10 @@ offending sentences.
 
 Words are runs of letters, digits and bytes beyond ASCII, A-Z lower-cased. A word and its
 first 4 and 6 bytes (so that forms of a word share something) are hashed into ``2^BITS``
-weights. Training reads at most ``PER_CLASS`` documents per label whose text has
-at most ``TRAIN_BYTES`` bytes, each class weighted to its true share, and runs in numpy on
-the driver. All texts are scored whole, in the executors.
+weights. Training reads at most ``PER_CLASS`` documents per label, whole and of any length, each class
+weighted to its true share. Their hashed words are taken in the executors; the fit runs in numpy
+on the driver. Long clean documents are part of it, so a sentence's probability stays small where
+there are thousands of them. All texts are scored whole, in the executors.
 
 Defined results: texts without sentences (null, empty) score 0; without both labels to
 learn from all score 0; repeated rows get equal scores; no rows give no rows. Only doc_id
@@ -34,7 +35,6 @@ from tidemart.llm.labels import bounded_sample, labelled, sampled_texts
 BITS = 18
 PREFIXES = (4, 6)
 PER_CLASS = 3000
-TRAIN_BYTES = 20_000
 # A word must occur in as many documents of the sample to get a weight.
 LEAST_DOCS = 5
 ROUNDS = 150
@@ -77,6 +77,11 @@ def sentences_of(texts: textbytes.Texts) -> Sentences:
     return Sentences(slots, first * (1 + len(PREFIXES)), bounds, words.start[first], words.end[last])
 
 
+def _bag(slots: np.ndarray, first: np.ndarray) -> Sentences:
+    """One text's sentences as ``fit`` reads them, without their byte ranges."""
+    return Sentences(slots, first, np.array([0, len(first)]), first[:0], first[:0])
+
+
 @dataclass(frozen=True)
 class Model:
     weights: np.ndarray
@@ -145,16 +150,28 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, per_class: int =
     rows = labelled(labels, "toxic", training)
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect() if r["label"] in (0, 1)}
     total = max(1, sum(counts.values()))
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                (texts,) = textbytes.texts_of(batch.column(2).slice(i, 1))
+                bag = sentences_of(texts)
+                held = [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (bag.slots, bag.first)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), *held], ["doc_id", "label", "slots", "first"]
+                )
+
     sample = sampled_texts(docs, bounded_sample(rows, [0, 1], per_class, SEED))
-    # At most 2 * per_class texts of TRAIN_BYTES bytes.
-    got = sample.filter(F.octet_length("text") <= TRAIN_BYTES).orderBy("doc_id").select("label", "text").toArrow()
+    kinds = dict(sample.dtypes)
+    schema = f"doc_id {kinds['doc_id']}, label {kinds['label']}, slots binary, first binary"
+    # At most 2 * per_class documents, four bytes a slot.
+    got = sample.mapInArrow(features, schema).orderBy("doc_id").select("label", "slots", "first").toArrow()
     y = got.column("label").to_numpy()
-    bags = [
-        sentences_of(t)
-        for chunk in got.column("text").chunks
-        for i in range(len(chunk))
-        for t in textbytes.texts_of(chunk.slice(i, 1))
-    ]
+
+    def arrays(name: str) -> list[np.ndarray]:
+        return [np.frombuffer(x.as_buffer(), np.int32) for x in got.column(name)]
+
+    bags = [_bag(slots, first) for slots, first in zip(arrays("slots"), arrays("first"))]
     return fit(bags, y, (counts.get(0, 0) / total, counts.get(1, 0) / total))
 
 
