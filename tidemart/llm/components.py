@@ -2,7 +2,9 @@
 
 A large star hangs every larger neighbour of a node on the smallest node next to it, a
 small star every smaller one; both only aggregate and join, so a node with very many
-links needs no list of them. The two alternate until the links no longer change: each
+links needs no list of them. What is aggregated is written before it is joined back: made in
+the tasks of the join it would tie a node's links to one task, which Spark could not
+split. The two alternate until the links no longer change: each
 component is then one star around its smallest node.
 """
 
@@ -16,13 +18,13 @@ from tidemart.session import write_shared
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
+    least = write_shared(both.groupBy("u").agg(F.min("v").alias("m")), "least-neighbours")
     joined = both.filter("v > u").join(least.withColumn("m", F.least("u", "m")), "u")
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = write_shared(edges.groupBy("u").agg(F.min("v").alias("m")), "least-neighbours")
     hung = edges.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return hung.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
