@@ -27,6 +27,46 @@ def test_balanced_gapless_with_nulls_ties_and_repeats(frame, hot_rows):
     assert {r["note"] for r in got} == {"kept"}
 
 
+def test_shards_and_slots_depend_on_the_rows_alone(frame):
+    rows = [(i, f"text {i % 7}") for i in range(300)] + [(3, "x")] * 60 + [(3, "y")] * 40 + [(None, None)] * 30
+    docs = frame(rows)
+    dealt_anew = docs.repartition(5, "text")
+
+    def placed(df, hot_rows):
+        out = shard_documents(df, 7, virtual_nodes=4, hot_rows=hot_rows)
+        return Counter((r["doc_id"], r["text"], r["shard"], r["slot"]) for r in out.collect())
+
+    want = placed(docs, 1_000_000)
+    assert placed(dealt_anew, 1_000_000) == want
+    assert all(placed(df, hot) == want for df in (docs, dealt_anew) for hot in (4, 25))
+
+
+def _naive(rows, shards, virtual_nodes):
+    """Single rows walk: each goes to the first point clockwise whose shard has room."""
+    points = ring_points(shards, virtual_nodes)
+    room, arcs = even_room(len(rows), shards), {}
+    for doc_id, place, at in rows:
+        arc = next((i for i, (p, _) in enumerate(points) if p >= place), 0)
+        arcs.setdefault(arc, []).append((at, place, doc_id))
+    left, found, used = {a: sorted(r) for a, r in arcs.items()}, {}, [0] * shards
+    for step in range(len(points)):
+        for arc in sorted(left):
+            shard = points[(arc + step) % len(points)][1]
+            while left[arc] and used[shard] < room[shard]:
+                found[left[arc].pop(0)[2]] = (shard, used[shard])
+                used[shard] += 1
+    return found
+
+
+@pytest.mark.parametrize("shards", [1, 6, 24])
+def test_equals_a_walk_of_single_rows(frame, shards):
+    docs = frame([(i, f"text {i % 9}") for i in range(700)])
+    hashed = docs.selectExpr("doc_id", "xxhash64(doc_id) place", "xxhash64(xxhash64(doc_id)) at").collect()
+    want = _naive([tuple(r) for r in hashed], shards, 8)
+    got = shard_documents(docs, shards, virtual_nodes=8).collect()
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in got} == want
+
+
 def test_empty_table(frame):
     assert shard_documents(frame([]), 4).collect() == []
 

@@ -8,11 +8,14 @@ differ by at most one, while documents move between two rings only as far as the
 arcs and the overflow ask.
 
 The ring has shards x virtual_nodes arcs. Rows are counted per arc; the walk of the
-overflow runs over these counts (an arc's rows leave it in ring order, so a walk is a
+overflow runs over these counts (an arc's rows leave it in one order, so a walk is a
 list of cut positions per arc) and its size depends on the two parameters alone. A row
-then finds its shard from its place in its arc. Places come from counts per cell, a
-slice of an arc, and row numbers within a cell. A cell beyond ``hot_rows`` rows (equal
-keys in great numbers) is split by a salt.
+then finds its shard from its place in its arc, whose order is by a second hash of the
+place, then by text. Places come from counts per cell, a range of that hash, and row numbers
+within a cell. A cell beyond ``hot_rows`` rows is cut into as many narrower ranges as its rows
+ask for; rows equal in id and text, where more than ``hot_rows``, form a cell of their own,
+split by salts. Neither changes the order, so shards and slots depend on the rows alone, not
+on ``hot_rows`` or the files they lie in.
 
 Defined results: a null id is placed by its text; null text has no bytes; repeated rows
 are separate rows (which of several equal rows goes where is open); no rows give no
@@ -33,8 +36,8 @@ from tidemart.session import write_shared
 VIRTUAL_NODES = 64
 SLICE_BITS = 6
 STEP_BITS = 10
-SALTS = 64
 HOT_ROWS = 1_000_000
+CELL = ("arc", "piece", "part", "segment", "salt")
 
 
 def text_size(text: Column) -> Column:
@@ -107,6 +110,47 @@ def _with_arc(df: DataFrame, points: list[int]) -> DataFrame:
     )
 
 
+def _cells(placed: DataFrame, counted: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with the columns of ``CELL``, and the row count of each cell.
+
+    Ordered by ``CELL``, the cells of an arc follow the order of its rows. ``segment`` is
+    2 x (keys of great numbers before the row), plus 1 for the rows of such a key.
+    """
+    plain = {"part": F.col("piece").cast("long"), "segment": F.lit(0), "salts": F.lit(1)}
+    hot = write_shared(counted.filter(F.col("n") > hot_rows), "ring-hot-cells")
+    if not hot.limit(1).count():
+        cells = counted.withColumns(plain).withColumn("salt", F.lit(0).cast("long"))
+        return placed.withColumns(plain).withColumn("salt", F.lit(0).cast("long")), cells
+    hot = small(hot)
+    equal = (
+        placed.join(hot.select("arc", "piece"), ["arc", "piece"], "left_semi")
+        .groupBy("arc", "piece", "at", "place", "tie")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .filter(F.col("rows") > hot_rows)
+    )
+    # A cell has fewer such keys than its rows / hot_rows.
+    key = F.struct("at", "place", "tie")
+    great = equal.groupBy("arc", "piece").agg(
+        F.array_sort(F.collect_list(F.struct(key.alias("key"), F.ceil(F.col("rows") / hot_rows).alias("salts")))).alias("great")
+    )
+    most = 64 - SLICE_BITS
+    bits = F.least(F.ceil(F.log2(F.col("n") / hot_rows)) + 1, F.lit(most)).cast("int")
+    cut = write_shared(
+        hot.join(great, ["arc", "piece"], "left").select("arc", "piece", bits.alias("bits"), "great"), "ring-cuts"
+    )
+    none = F.array().cast("array<struct<key: struct<at: bigint, place: bigint, tie: bigint>, salts: bigint>>")
+    rows = placed.join(small(cut), ["arc", "piece"], "left").withColumn("great", F.coalesce("great", none))
+    own = F.filter("great", lambda g: g["key"] == key)
+    before = F.size(F.filter("great", lambda g: g["key"] < key))
+    rows = rows.withColumns({
+        "part": F.expr(f"shiftright(at, {most} - coalesce(bits, 0))"),
+        "segment": 2 * before + F.size(own),
+        "salts": F.coalesce(F.get(own, F.lit(0))["salts"], F.lit(1)),
+    })
+    rows = rows.withColumn("salt", F.pmod("salt", "salts")).drop("bits", "great")
+    return rows, rows.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"))
+
+
 def shard_documents(
     docs: DataFrame,
     shards: int,
@@ -127,43 +171,32 @@ def shard_documents(
     placed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), place.alias("place"), text.alias("tie")
     )
-    # An arc may span a large part of the ring or a small one; its slices are by hash.
-    piece = F.pmod(F.xxhash64("place"), F.lit(1 << SLICE_BITS)).cast("int")
-    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int")
-    placed = write_shared(
-        _with_arc(placed.withColumns({"piece": piece, "salt": salt}), [p for p, _ in points]), "ring-rows"
-    )
-    counted = write_shared(
-        placed.groupBy("arc", "piece", "salt").agg(F.count(F.lit(1)).alias("n")), "ring-counts"
-    )
-    # At most arcs x 2^SLICE_BITS cells.
-    hot = counted.groupBy("arc", "piece").agg((F.sum("n") > hot_rows).alias("hot"))
-    hot = small(hot.filter("hot"))
-    cells = (
-        counted.join(hot, ["arc", "piece"], "left")
-        .withColumn("salt", F.when(F.col("hot"), F.col("salt")).otherwise(F.lit(0)))
-        .groupBy("arc", "piece", "salt")
-        .agg(F.sum("n").alias("n"))
-    )
-    upto = Window.partitionBy("arc").orderBy("piece", "salt").rowsBetween(Window.unboundedPreceding, -1)
-    starts = cells.select(
-        "arc", "piece", "salt", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("start")
-    )
+    # An arc may span a large part of the ring or a small one; its cells are by hash.
+    by_hash = F.xxhash64("place")
+    placed = placed.withColumns({
+        "at": by_hash,
+        "piece": F.shiftright(by_hash, 64 - SLICE_BITS).cast("int"),
+        "salt": F.xxhash64(F.monotonically_increasing_id()),
+    })
+    placed = write_shared(_with_arc(placed, [p for p, _ in points]), "ring-rows")
+    # At most arcs x 2^SLICE_BITS rows.
+    counted = write_shared(placed.groupBy("arc", "piece").agg(F.count(F.lit(1)).alias("n")), "ring-counts")
     # shards x virtual_nodes rows.
     loads = [0] * len(points)
     for r in counted.groupBy("arc").agg(F.sum("n").alias("n")).collect():
         loads[r["arc"]] = r["n"]
+    in_cells, cells = _cells(placed, counted, hot_rows)
+    upto = Window.partitionBy("arc").orderBy(*CELL[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    starts = cells.select(*CELL, F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("start"))
     cuts = bounded_walk(loads, [s for _, s in points], even_room(sum(loads), shards))
     walk = docs.sparkSession.createDataFrame(
         [(arc, cut) for arc, cut in enumerate(cuts) if cut],
         "arc int, cuts array<struct<first: bigint, shard: int, slot: bigint>>",
     )
-    inside = Window.partitionBy("arc", "piece", "salt").orderBy("place", "tie")
+    inside = Window.partitionBy(*CELL).orderBy("at", "place", "tie")
     numbered = (
-        placed.join(hot, ["arc", "piece"], "left")
-        .withColumn("salt", F.when(F.col("hot"), F.col("salt")).otherwise(F.lit(0)))
-        .withColumn("nth", F.row_number().over(inside) - 1)
-        .join(starts, ["arc", "piece", "salt"])
+        in_cells.withColumn("nth", F.row_number().over(inside) - 1)
+        .join(starts, list(CELL))
         .join(F.broadcast(walk), "arc")
         .withColumn("nth", F.col("nth") + F.col("start"))
         .withColumn("cut", F.element_at(F.filter("cuts", lambda c: c["first"] <= F.col("nth")), -1))
