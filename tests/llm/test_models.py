@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tidemart.llm import labels as labels_of
 from tidemart.llm import langid, quality, textbytes, toxicity
 from tidemart.llm.common import held_out, id_remainder
 
@@ -136,6 +137,49 @@ def test_language_with_little_to_learn_from(spark, frame):
     assert langid.languages(frame([]), frame([]), F.lit(True)).collect() == []
 
 
+def test_language_scores_equal_a_plain_pass(spark, frame):
+    docs = _with_edges(_read(spark, "documents").limit(60), frame)
+    learned = _read(spark, "documents")
+    net = langid.train(docs, learned, F.lit(True), per_class=20)
+    got = {(r["doc_id"], r["lang_pred"]): r["score"] for r in langid.languages(docs, learned, F.lit(True), per_class=20).collect()}
+    empty = langid.train(docs.limit(0), docs.limit(0), F.lit(True))
+    assert not empty.languages
+
+    def plain(text):
+        raw = text.encode()
+        total = np.zeros(len(net.languages))
+        for at in range(0, len(raw), langid.WINDOW):
+            held = raw[at : at + langid.WINDOW]
+            window = np.frombuffer(held.ljust(langid.WINDOW + 3, b" "), np.uint8)
+            hidden = []
+            for table in net.tables:
+                sums = [sum(table[j][window[i + j]] for j in range(len(table))) for i in range(langid.WINDOW)]
+                hidden.extend(np.max(sums, axis=0))
+            z = np.maximum(np.array(hidden) + net.bias, 0) @ net.dense + net.offset
+            total += len(held) * np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        return total / max(1, len(raw))
+
+    for r in docs.filter("doc_id < 9000 or doc_id = 9005").dropDuplicates(["doc_id"]).limit(25).collect():
+        p = plain(r["text"])
+        assert abs(got[r["doc_id"], net.languages[p.argmax()]] - p.max()) < 1e-3
+
+
+def test_language_of_hundreds(spark, frame):
+    rows = [(i, f"word{i % 700} " * 3, f"l{i % 700:03d}") for i in range(1500)]
+    got = langid.languages(frame(rows), frame(rows), F.lit(True), per_class=2).collect()
+    assert len(got) == 1500 and {r["lang_pred"] for r in got} <= {r[2] for r in rows}
+    assert all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_sample_of_many_values_is_that_of_few(spark, monkeypatch):
+    rows = spark.range(600).selectExpr("id doc_id", "concat('v', id % 5) label")
+    values = [f"v{i}" for i in range(5)]
+    few = labels_of.bounded_sample(rows, values, 7, 3).collect()
+    monkeypatch.setattr(labels_of, "FEW_VALUES", 1)
+    assert sorted(labels_of.bounded_sample(rows, values, 7, 3).collect()) == sorted(few)
+    assert len(few) == 35
+
+
 @pytest.mark.parametrize("chunk", [1, 7, 1000])
 def test_runs_of_texts_split_alike(chunk):
     texts = ["one two", "", None, " three  four\tfive ", "é x", "six"]

@@ -7,7 +7,9 @@ all its windows, weighted by their bytes: whole texts are read.
 
 A filter is a table of weights per position and byte value, so applying it is a sum of
 table look-ups. Training is plain numpy on the driver: Adam over seeded batches of one
-window from each of at most ``PER_CLASS`` sampled documents per language.
+window from each of at most ``PER_CLASS`` sampled documents per language, and, with so many
+languages that this passes ``MOST_WINDOWS``, an equal share of those for each language, one at least.
+The names of the languages are held on the driver, as every model of classes does.
 
 Defined results: ``und`` with score 0 for null, for texts without a letter, and for all if
 there is nothing to learn from; with a single language it is every text's; documents
@@ -32,11 +34,11 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 PER_CLASS = 1500
-# Languages are counted before sampling; more than this many are refused.
-MOST_LANGUAGES = 500
+MOST_WINDOWS = 500_000
 EPOCHS = 5
 BATCH = 64
-WINDOWS_AT_ONCE = 256
+# Windows times languages whose probabilities are worked out together, one window at least.
+CELLS_AT_ONCE = 1 << 14
 SEED = 59
 UNKNOWN = "und"
 
@@ -152,12 +154,15 @@ def cut(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
 def text_probabilities(net: Network, texts: textbytes.Texts) -> np.ndarray:
     """Mean probabilities over each text's windows; 0 for texts without bytes."""
     start, length, bounds = windows_of(texts)
-    found = np.zeros((len(start), len(net.offset)))
-    for at in range(0, len(start), WINDOWS_AT_ONCE):
-        part = slice(at, at + WINDOWS_AT_ONCE)
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    total = np.zeros((len(bounds) - 1, len(net.offset)))
+    step = min(256, max(1, CELLS_AT_ONCE // len(net.offset)))
+    for at in range(0, len(start), step):
+        part = slice(at, at + step)
         p = net.probabilities(cut(texts.data, start[part], length[part]))
-        found[part] = p * length[part, None]
-    return textbytes.segment_sums(found, bounds) / np.maximum(np.diff(texts.offsets), 1)[:, None]
+        # One window after the other, so that a text's sum doesn't depend on where the steps fall.
+        np.add.at(total, owner[part], p * length[part, None])
+    return total / np.maximum(np.diff(texts.offsets), 1)[:, None]
 
 
 def has_letter(texts: textbytes.Texts) -> np.ndarray:
@@ -172,9 +177,7 @@ def has_letter(texts: textbytes.Texts) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, training: Column, per_class: int = PER_CLASS) -> Network:
     """Learn from the rows of ``labels`` (doc_id, lang) for which ``training`` holds."""
     rows = labelled(labels, "lang", training)
-    languages = sorted(r[0] for r in rows.select("label").distinct().limit(MOST_LANGUAGES + 1).collect())
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    languages = sorted(r[0] for r in rows.select("label").distinct().collect())
     if len(languages) < 2:
         return fit(np.zeros((0, WINDOW + _SPREAD), np.uint8), np.zeros(0, int), languages)
 
@@ -194,9 +197,10 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, per_class: int =
                     [picked.column(0), picked.column(1), pa.array(found, pa.binary())], ["doc_id", "label", "window"]
                 )
 
-    sample = sampled_texts(docs, bounded_sample(rows, languages, per_class, SEED))
+    each = min(per_class, max(1, MOST_WINDOWS // len(languages)))
+    sample = sampled_texts(docs, bounded_sample(rows, languages, each, SEED))
     kind = dict(docs.dtypes)["doc_id"]
-    # At most per_class windows per language.
+    # At most ``each`` windows per language.
     got = sample.mapInArrow(one_window, f"doc_id {kind}, label string, window binary").orderBy("doc_id").toArrow()
     windows = np.frombuffer(b"".join(got.column("window").to_pylist()), np.uint8).reshape(-1, WINDOW + _SPREAD)
     y = np.searchsorted(np.array(languages), np.array(got.column("label").to_pylist(), dtype=object).astype(str))
