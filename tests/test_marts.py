@@ -11,7 +11,7 @@ from tidemart.operators import quality
 from tidemart.operators.cleaning import clean_log
 from tidemart.operators.cohorts import cohort_table
 from tidemart.operators.dims import new_dim_rows
-from tidemart.operators.pivot import pivot_matrix
+from tidemart.operators.pivot import periods_seen, pivot_matrix
 from tidemart.plans import activity, retail, rfm, shipping
 
 T, D, M = dt.datetime, dt.date, Decimal
@@ -74,6 +74,16 @@ def test_golden_retention(spark):
     assert rows(wide) == [("2008-07-01", 100.0, 66.67, 33.33, 66.67, 33.33, 66.67, None)]
     with pytest.raises(Exception, match="without a column: 2008-08-01"):
         pivot_matrix(table, "cohort_dt", "session_date", "retention_rate", months[:1]).collect()
+    args = ("cohort_dt", "session_date", "retention_rate")
+    found = pivot_matrix(table, *args)
+    assert found.columns == ["cohort_dt", *[m.isoformat() for m in months[:6]]]
+    assert rows(found) == [("2008-07-01", 100.0, 66.67, 33.33, 66.67, 33.33, 66.67)]
+    later = spark.createDataFrame([(D(2008, 7, 1), D(2031, 2, 1), 1.5), (D(2008, 7, 1), None, None)], table.select(*args).schema)
+    late = pivot_matrix(table.select(*args).unionByName(later), *args)
+    assert late.columns[-1] == "2031-02-01" and late.first()[-1] == 1.5
+    assert pivot_matrix(table.limit(0), *args).columns == ["cohort_dt"]
+    with pytest.raises(ValueError, match="more than 5 values"):
+        periods_seen(table, "session_date", 5)
 
 
 def test_month_over_month_excludes_last_day(spark):

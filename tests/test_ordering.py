@@ -6,12 +6,14 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemart.operators import ordering
 from tidemart.operators.keys import surrogate_key
 from tidemart.operators.ordering import (
     SortKey,
     global_row_number,
     ntile,
     ntile_starts,
+    ntiles,
     place_in_order,
 )
 
@@ -34,6 +36,41 @@ def test_ntile_equals_window(scored, tiles, descending, nulls_first):
     assert got.filter("want <> got").count() == 0
 
 
+@pytest.mark.parametrize("guess_rows", [1, 40])
+@pytest.mark.parametrize("tiles", [2, 23])
+def test_tiles_by_selection_equal_windows(scored, tiles, guess_rows):
+    orders = {"up": [SortKey("value"), "id"], "down": [SortKey("value", True, False), SortKey("id", True)]}
+    want = scored
+    for out, keys in orders.items():
+        w = Window.orderBy(*[k.column() for k in ordering.as_keys(keys)])
+        want = want.withColumn(f"want_{out}", F.ntile(tiles).over(w))
+    got = ntiles(want, orders, tiles, 10, guess_rows)
+    assert got.filter("want_up <> up or want_down <> down").count() == 0 and got.count() == 1500
+
+
+def test_only_ranges_around_the_tiles_are_sorted(spark, monkeypatch):
+    df = spark.range(60_000).select(F.xxhash64("id").alias("value"), "id")
+    sorted_rows = []
+
+    def spy(rows, *args):
+        placed = place_in_order(rows, *args)
+        sorted_rows.append(placed.total)
+        return placed
+
+    monkeypatch.setattr(ordering, "place_in_order", spy)
+    got = ntiles(df, {"tile": ["value", "id"]}, 5, direct_rows=1000)
+    assert [r["count"] for r in got.groupBy("tile").count().collect()] == [12_000] * 5
+    assert sum(sorted_rows) < 12_000
+
+
+def test_a_frame_that_changes_between_reads_raises(spark, monkeypatch):
+    df = spark.range(5000)
+    smaller = place_in_order(spark.range(3), ["id"], "other")
+    monkeypatch.setattr(ordering, "place_in_order", lambda *_: smaller)
+    with pytest.raises(RuntimeError, match="other rows"):
+        ntiles(df, {"t": ["id"]}, 5, 100, 50)
+
+
 def test_ntile_with_fewer_rows_than_tiles(spark):
     df = spark.createDataFrame([(3,), (1,), (2,)], "id bigint")
     assert sorted(map(tuple, ntile(df, ["id"], 5, "t").collect())) == [(1, 1), (2, 2), (3, 3)]

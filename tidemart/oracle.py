@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from tidemart.functions.temporal import month_starts
-from tidemart.registry import FIRST_MONTH, LAST_MONTH
+
+# The months of the order log.
+FIRST_MONTH, LAST_MONTH = dt.date(1995, 1, 1), dt.date(2001, 8, 1)
 
 # Shared relations; each statement starts with the ones it needs.
 _RELATIONS = {

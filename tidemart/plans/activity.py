@@ -192,8 +192,11 @@ def cohort_retention(posts: DataFrame) -> DataFrame:
     return cohort_table(posts, "user_id", "creation_date", "month")
 
 
-def retention_matrix(retention: DataFrame, months: Sequence[dt.date]) -> DataFrame:
-    """Cohorts down, months across, the retention rate in the cells."""
+def retention_matrix(retention: DataFrame, months: Sequence[dt.date] | None = None) -> DataFrame:
+    """Cohorts down, months across, the retention rate in the cells.
+
+    Every month that occurs has its column, unless ``months`` states them.
+    """
     return pivot_matrix(retention, "cohort_dt", "session_date", "retention_rate", months)
 
 

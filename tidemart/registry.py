@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tidemart import constants as C
 from tidemart import schemas
-from tidemart.functions.temporal import month_starts
 from tidemart.operators import quality
 from tidemart.operators.cleaning import clean_log
 from tidemart.plans import activity, daily_load, retail, rfm, shipping
@@ -32,7 +31,6 @@ from tidemart.streaming.ingest import catch_up_days, ingest_arrivals, ingest_day
 Query = Callable[[SparkSession, str], DataFrame]
 
 D = dt.date
-FIRST_MONTH, LAST_MONTH = D(1995, 1, 1), D(2001, 8, 1)
 RFM_START = dt.datetime(2000, 1, 1)
 FACT_DAY = D(1995, 6, 19)
 FACT_FIRST, FACT_LAST = D(1995, 1, 1), D(2001, 12, 31)
@@ -153,8 +151,7 @@ def cohort_retention(spark, root):
 
 @query
 def retention_matrix(spark, root):
-    retention = activity.cohort_retention(adapters.posts_from_orders(spark, root))
-    return activity.retention_matrix(retention, month_starts(FIRST_MONTH, LAST_MONTH))
+    return activity.retention_matrix(activity.cohort_retention(adapters.posts_from_orders(spark, root)))
 
 
 @query
