@@ -1,0 +1,128 @@
+"""States that increments are merged into: bitmaps of active months, distinct counts per day."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemart.operators import activity_state, distinct, quality
+from tidemart.operators.cohorts import cohort_table
+from tidemart.sources import versions
+
+LOG = "user_id long, ts timestamp_ntz"
+
+
+def at(day, hour=5):
+    return dt.datetime.combine(day, dt.time(hour))
+
+
+@pytest.fixture
+def log():
+    """Random visits over twelve years, with two users seen once and one seen in every month."""
+    rnd = random.Random(4)
+    first = dt.date(1998, 11, 3)
+    rows = [(rnd.randrange(40), at(first + dt.timedelta(days=rnd.randrange(4300)))) for _ in range(900)]
+    rows += [(50, at(dt.date(1999, 12, 31))), (51, at(dt.date(2000, 1, 1), 0)), (None, at(first))]
+    return rows + [(-7, at(dt.date(1998 + m // 12, 1 + m % 12, 28))) for m in range(144)]
+
+
+def cells(df):
+    return sorted(tuple(r) for r in df.select("cohort_dt", "session_date", "users_cnt", "cohort_users_cnt", "retention_rate").collect())
+
+
+def test_increments_equal_the_full_scan(spark, tmp_path, log):
+    path, rows = str(tmp_path / "state"), sorted(log, key=lambda r: r[1])
+    seen = []
+    # In order, out of order, and one part twice.
+    for a, b in ((0, 300), (700, len(rows)), (300, 650), (200, 400), (650, 700)):
+        activity_state.update(spark, path, spark.createDataFrame(rows[a:b], LOG), "user_id", "ts")
+        seen += rows[a:b]
+        want = cohort_table(spark.createDataFrame(seen, LOG), "user_id", "ts")
+        assert cells(activity_state.retention(activity_state.read(spark, path))) == cells(want)
+
+
+def test_only_touched_words_are_replaced(spark, tmp_path, log):
+    path = str(tmp_path / "state")
+    words = activity_state.update(spark, path, spark.createDataFrame(log, LOG), "user_id", "ts")
+    assert words == [1995 // 5, 2000 // 5, 2005 // 5, 2010 // 5]
+    before = versions.latest(spark, path).parts
+    late = spark.createDataFrame([(3, at(dt.date(2004, 12, 31)))], LOG)
+    assert activity_state.update(spark, path, late, "user_id", "ts") == [400]
+    after = versions.latest(spark, path).parts
+    assert {w for w in after if after[w] != before[w]} == {"400"}
+
+
+def test_replaced_words_forget_what_is_gone(spark, tmp_path):
+    path, day = str(tmp_path / "state"), dt.date(2001, 2, 3)
+    rows = [(1, at(day)), (2, at(dt.date(2001, 3, 1))), (1, at(dt.date(1996, 1, 1)))]
+    activity_state.update(spark, path, spark.createDataFrame(rows, LOG), "user_id", "ts")
+    activity_state.update(spark, path, spark.createDataFrame(rows[1:2], LOG), "user_id", "ts", replace=True)
+    want = cohort_table(spark.createDataFrame(rows[1:], LOG), "user_id", "ts")
+    assert cells(activity_state.retention(activity_state.read(spark, path))) == cells(want)
+
+
+def test_no_rows_no_state(spark, tmp_path):
+    path = str(tmp_path / "state")
+    nothing = spark.createDataFrame([(None, at(dt.date(2001, 1, 1))), (4, None)], LOG)
+    assert activity_state.update(spark, path, nothing, "user_id", "ts") == []
+    assert activity_state.retention(activity_state.read(spark, path)).collect() == []
+
+
+def visits(spark):
+    rnd = random.Random(8)
+    first = dt.date(2024, 1, 1)
+    rows = [(first + dt.timedelta(days=rnd.randrange(20)), rnd.choice("ab"), rnd.choice([None, -3, 0, 1, 32768, 32769, rnd.randrange(200)])) for _ in range(800)]
+    return rows, spark.createDataFrame(rows, "d date, kind string, who long")
+
+
+def test_trailing_distinct_equals_brute_force(spark):
+    rows, df = visits(spark)
+    for states in (distinct.daily_bitmaps, distinct.daily_sketches):
+        got = distinct.trailing_distinct(states(df, F.col("d"), ["kind"], "who"), ["kind"], 7, "n")
+        want = {}
+        for day, kind, who in rows:
+            if who is not None:
+                week = {w for d, k, w in rows if k == kind and 0 <= (day - d).days < 7 and w is not None}
+                want[day, kind] = len(week)
+        # Sketches of so few ids hold them all, so that their estimates are exact as well.
+        assert {(r["day"], r["kind"]): r["n"] for r in got.collect()} == want
+
+
+def test_range_of_days(spark):
+    rows, df = visits(spark)
+    states = distinct.daily_bitmaps(df, F.col("d"), [], "who")
+    a, b = dt.date(2024, 1, 5), dt.date(2024, 1, 9)
+    got = distinct.distinct_of(distinct.in_range(states, a, b), [], "n").first()["n"]
+    assert got == len({w for d, _, w in rows if a <= d <= b and w is not None})
+
+
+@pytest.mark.parametrize("lg_k", [10, 14])
+def test_estimates_keep_their_error_bound(spark, lg_k):
+    # 30 groups of up to 60,000 ids, each id on two of five days.
+    ids = spark.range(900_000).select(
+        (F.col("id") % 30).alias("g"), F.col("id").alias("who"), F.explode(F.array(F.col("id") % 5, (F.col("id") + 1) % 5)).alias("d")
+    ).filter("who < 30000 * (g + 1)")
+    states = distinct.daily_sketches(ids, F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("d").cast("int")), ["g"], "who", lg_k)
+    found = distinct.distinct_of(states, ["g"], "n").collect()
+    exact = {g: len(range(g, 30_000 * (g + 1), 30)) for g in range(30)}
+    errors = [abs(r["n"] / exact[r["g"]] - 1) for r in found]
+    assert len(found) == 30 and max(errors) <= distinct.error_bound(lg_k, 4)
+    assert (sum(e * e for e in errors) / 30) ** 0.5 <= distinct.error_bound(lg_k, 1.5)
+
+
+@pytest.mark.parametrize("listed", [True, False])
+def test_duplicates_by_marks(spark, monkeypatch, listed):
+    monkeypatch.setattr(quality, "fits_broadcast", lambda df: listed)
+    rows = [(1, None, 0.0), (1, None, -0.0), (None, 1, 0.0), (None, 1, float("nan")), (None, 1, float("nan")), (None, None, None)]
+    rows += [(None, None, None)] * 5 + [(n, n, 1.0) for n in range(50)]
+    df = spark.createDataFrame(rows, "a long, b long, c double")
+    assert tuple(quality.duplicate_counts(df).first()) == (61, 54, 7)
+    assert tuple(quality.duplicate_counts(df.limit(0)).first()) == (0, 0, 0)
+
+
+def test_marks_of_different_rows_may_meet(spark):
+    # A null leaves a mark as it is, so these two rows have the same one.
+    df = spark.createDataFrame([(1, None), (None, 1), (2, 2), (2, 2)], "a long, b long")
+    assert df.select(F.xxhash64("a", "b")).distinct().count() == 2
+    assert tuple(quality.duplicate_counts(df).first()) == (4, 3, 1)

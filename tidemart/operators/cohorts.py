@@ -27,6 +27,11 @@ def cohort_table(df: DataFrame, user: str, ts: str, grain: str = "month") -> Dat
         .groupBy("cohort_dt", "session_date")
         .agg(F.count("_user").alias("users_cnt"))
     )
+    return with_rates(cells)
+
+
+def with_rates(cells: DataFrame) -> DataFrame:
+    """Cohort size and retention rate beside each cell's number of users."""
     size = F.max(F.when(F.col("session_date") == F.col("cohort_dt"), F.col("users_cnt"))).over(
         Window.partitionBy("cohort_dt")
     )

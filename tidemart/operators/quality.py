@@ -1,4 +1,4 @@
-"""Data-quality checks, each a single pass or one combined aggregate."""
+"""Data-quality checks, each a single pass, one combined aggregate, or marks first and rows where they repeat."""
 
 from __future__ import annotations
 
@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemart.operators.skew import fits_broadcast
+from tidemart.session import write_shared
+
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
@@ -15,14 +18,27 @@ def row_count(df: DataFrame) -> DataFrame:
 def duplicate_counts(df: DataFrame) -> DataFrame:
     """Total rows, distinct rows and the difference.
 
-    Equal rows are combined before the shuffle.
+    Rows are counted by a 64-bit mark first, so marks are shuffled instead of rows. Equal rows
+    have equal marks: a mark seen once is one distinct row. Rows of the marks seen several times are
+    compared as a whole, so marks of different rows may meet without harm. A list of repeated
+    marks too long to broadcast means that many rows are to be compared anyway; then all are.
     """
-    distinct_rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    total = F.coalesce(F.sum("_copies"), F.lit(0))
-    return distinct_rows.agg(
-        total.alias("total_rows"),
-        F.count(F.lit(1)).alias("distinct_rows"),
-        (total - F.count(F.lit(1))).alias("duplicate_rows"),
+    mark = F.xxhash64(*df.columns).alias("_mark")
+    marks = df.groupBy(mark).agg(F.count(F.lit(1)).alias("_rows"))
+    repeated = write_shared(marks.filter("_rows > 1"), "repeated-marks")
+    rows, n = df.agg(F.count(F.lit(1)).alias("total")), F.count(F.lit(1))
+    if fits_broadcast(repeated):
+        listed = F.broadcast(repeated.select("_mark"))
+        compared = df.withColumn("_mark", mark).join(listed, "_mark", "left_semi").select(*df.columns)
+        single = rows.select("total", F.col("total").alias("different")).unionByName(
+            repeated.select(F.lit(0).alias("total"), (-F.col("_rows")).alias("different"))
+        )
+    else:
+        compared, single = df, rows.withColumn("different", F.lit(0))
+    counted = compared.distinct().agg(n.alias("different")).withColumn("total", F.lit(0))
+    total, different = F.sum("total"), F.sum("different")
+    return single.unionByName(counted).agg(
+        total.alias("total_rows"), different.alias("distinct_rows"), (total - different).alias("duplicate_rows")
     )
 
 

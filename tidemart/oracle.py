@@ -297,6 +297,13 @@ def _statements() -> dict[str, str]:
             "posts",
         ),
         "cohort_retention": _with(" SELECT * FROM retention", "retention"),
+        "cohort_retention_incremental": _with(" SELECT * FROM retention", "retention"),
+        "weekly_active_users": """
+            WITH seen AS (SELECT DISTINCT ts::DATE AS day, event_type AS post_type_id, user_id FROM events),
+                 days AS (SELECT DISTINCT day, post_type_id FROM seen WHERE user_id IS NOT NULL)
+            SELECT d.day, d.post_type_id, COUNT(DISTINCT s.user_id)::BIGINT AS active_users
+            FROM days d JOIN seen s ON s.post_type_id = d.post_type_id AND s.day BETWEEN d.day - 6 AND d.day
+            GROUP BY d.day, d.post_type_id""",
         "retention_matrix": _with(_matrix(), "retention"),
         "month_over_month": _with(
             """

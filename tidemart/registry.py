@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemart import constants as C
 from tidemart import schemas
-from tidemart.operators import quality
+from tidemart.functions.temporal import in_days
+from tidemart.operators import activity_state, quality
 from tidemart.operators.cleaning import clean_log
+from tidemart.operators.distinct import daily_bitmaps, trailing_distinct
 from tidemart.plans import activity, daily_load, retail, rfm, shipping
 from tidemart.session import fresh_path, in_parallel, write_shared
 from tidemart.sources import adapters
@@ -33,6 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 D = dt.date
 RFM_START = dt.datetime(2000, 1, 1)
 FACT_DAY = D(1995, 6, 19)
+POSTS_FIRST, POSTS_LAST = D(1900, 1, 1), D(2100, 12, 31)
 FACT_FIRST, FACT_LAST = D(1995, 1, 1), D(2001, 12, 31)
 # Files before this day are of the generation without a status column.
 STATUS_SINCE = D(1998, 1, 1)
@@ -149,6 +152,17 @@ def cohort_retention(spark, root):
     return activity.cohort_retention(adapters.posts_from_orders(spark, root))
 
 
+@query
+def cohort_retention_incremental(spark, root):
+    """The same report from bitmaps of active months: a first load, then two increments, of which
+    the first one repeats a part of the load."""
+    posts = adapters.posts_from_orders(spark, root)
+    state, at = fresh_path(spark, "activity-state"), F.col("creation_date")
+    for first, last in ((POSTS_FIRST, D(1997, 12, 31)), (D(1997, 6, 1), D(1999, 6, 30)), (D(1999, 7, 1), POSTS_LAST)):
+        activity_state.update(spark, state, posts.filter(in_days(at, first, last)), "user_id", "creation_date")
+    return activity_state.retention(activity_state.read(spark, state))
+
+
 @query
 def retention_matrix(spark, root):
     return activity.retention_matrix(activity.cohort_retention(adapters.posts_from_orders(spark, root)))
@@ -179,6 +193,16 @@ def user_activity(spark, root):
     return activity.running_views(posts)
 
 
+@query
+def weekly_active_users(spark, root):
+    """Distinct users of each kind of post in the seven days up to each day, from bitmaps per day."""
+    posts = adapters.posts_from_events(spark, root)
+    states = write_shared(
+        daily_bitmaps(posts, F.to_date("creation_date"), ["post_type_id"], "user_id"), "daily-bitmaps"
+    )
+    return trailing_distinct(states, ["post_type_id"], 7, "active_users")
+
+
 # --- customer segments --------------------------------------------------------
 
 
