@@ -66,6 +66,39 @@ def test_components_equal_brute_force(frame, rows, monkeypatch, k, percent, freq
         assert (got[i]["n_shingles"], got[i]["component_id"]) == (len(s), root), rows[i]
 
 
+@pytest.mark.parametrize("group", [3, 16])
+def test_further_round_finds_what_the_first_leaves(frame, rows, monkeypatch, group):
+    first = jaccard.first_pairs
+    monkeypatch.setattr(jaccard, "GROUP_ROWS", group)
+    monkeypatch.setattr(jaccard, "first_pairs", lambda *args: first(*args).filter("ga = gb"))
+    _, roots = _brute(rows, 4, 85)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(frame(rows), 4, 85).collect()}
+    assert got == dict(enumerate(roots))
+
+
+def test_near_copies_open_few_pairs(frame, prose, monkeypatch):
+    """Groups of near copies that are linked do not all meet."""
+    monkeypatch.setattr(jaccard, "GROUP_ROWS", 8)
+    opened, further = [], jaccard.further_pairs
+
+    def counted(tokens, groups, linked, first, percent):
+        parts, pairs = further(tokens, groups, linked, first, percent)
+        n = groups.select("gid").distinct().count()
+        opened.append((n, first.count(), pairs.count()))
+        return parts, pairs
+
+    monkeypatch.setattr(jaccard, "further_pairs", counted)
+    rnd, hot = random.Random(3), prose(200, 41)
+    rows = [(i, _edited(hot, rnd, rnd.randrange(1, 3))) for i in range(800)]
+    rows += [(1000 + i, prose(60, 2000 + i)) for i in range(40)]
+    _, roots = _brute(rows, 4, 85)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(frame(rows), 4, 85).collect()}
+    assert got == {i: rows[root][0] for (i, _), root in zip(rows, roots)}
+    (groups, first, more), = opened
+    # All pairs would be about 5,000.
+    assert groups > 80 and first + more < 8 * groups
+
+
 def test_null_and_repeated_ids(frame, prose):
     text = prose(50, 3)
     rows = [(None, text), (9, text), (9, text), (4, text + " end"), (9, "other"), (None, "alone"), (None, None)]

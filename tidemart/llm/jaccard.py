@@ -19,6 +19,11 @@ compared.
   (8 MB). It only sets the order, never the result.
 * **Groups.** A class goes to the group of its most common shared leading token and its
   size range, cut by hash into groups of about ``GROUP_ROWS``: no group grows with the data.
+* **Two rounds.** Many near copies of one text make many groups that all meet. So each group is
+  first opened with itself and with one hub group per token, a number of pairs that grows as the
+  matrix does. Then groups are cut by the components found, and of each token the groups of its
+  largest component are spared: a pair is opened only if its sides are not of one component. All
+  other pairs that pass are opened, so no link between components is missed.
 * **Opening.** Set comparisons run in numpy inside tasks, one pair of groups at a time,
   and give a spanning forest of the links found there instead of all of them. Texts of
   opened groups are read again rather than stored.
@@ -183,8 +188,19 @@ def _fingerprints(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return out[0].view(np.int64), out[1].view(np.int64)
 
 
+def _near(a: str, b: str, percent: int) -> Column:
+    """Whether sizes of ``low`` to ``high`` on two sides leave room for similar sets."""
+    return (F.col(f"high_{a}") * 100 >= F.col(f"low_{b}") * percent) & (
+        F.col(f"high_{b}") * 100 >= F.col(f"low_{a}") * percent
+    )
+
+
+def _sides(matrix: DataFrame, columns: list[str], side: str) -> DataFrame:
+    return matrix.select("token", *[F.col(c).alias(f"{c}_{side}") for c in columns])
+
+
 def token_groups(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """The groups (rid, n, gid) and the pairs of groups (ga, gb) to open, ga <= gb."""
+    """The shared leading tokens (rid, n, token) and the groups (rid, n, gid)."""
     tokens = nodes.select("rid", "n", F.explode("lead").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     rows = write_shared(tokens.join(shared, "token"), "shared-tokens")
@@ -197,33 +213,87 @@ def token_groups(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     # Only homes of more than one group are joined, so that a large one is not brought together.
     sizes = homes.groupBy("home", "range").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).alias("parts")).filter("parts > 1")
     part = F.pmod(F.xxhash64("rid"), F.coalesce("parts", F.lit(1)))
-    groups = write_shared(
-        homes.join(small(write_shared(sizes, "large-homes")), ["home", "range"], "left").select(
-            "rid", "n", F.xxhash64("home", "range", part).alias("gid")
-        ),
-        "token-groups",
+    groups = homes.join(small(write_shared(sizes, "large-homes")), ["home", "range"], "left").select(
+        "rid", "n", F.xxhash64("home", "range", part).alias("gid")
     )
-    matrix = write_shared(
+    return rows, write_shared(groups, "token-groups")
+
+
+def _matrix(rows: DataFrame, groups: DataFrame, *group: str) -> DataFrame:
+    """The tokens of each group with the sizes of the sets that hold them."""
+    return (
         rows.select("rid", "token")
         .join(groups, "rid")
-        .groupBy("token", "gid")
-        .agg(F.min("n").alias("low"), F.max("n").alias("high")),
-        "token-group-matrix",
+        .groupBy("token", *group)
+        .agg(F.min("n").alias("low"), F.max("n").alias("high"))
     )
-    a, b = (
-        matrix.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("gid", "low", "high")]) for s in ("a", "b")
+
+
+def first_pairs(rows: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups (ga, gb) to open first, ga <= gb: each group with itself, and with the
+    smallest group id of its tokens where they share enough such tokens. They are as many as
+    the matrix has rows at most."""
+    matrix = write_shared(_matrix(rows, groups, "gid"), "token-group-matrix")
+    least = F.min(F.struct("gid", "low", "high")).alias("least")
+    hubs = matrix.groupBy("token").agg(least, F.count(F.lit(1)).alias("groups")).filter("groups > 1")
+    hubs = write_shared(
+        hubs.select("token", *[F.col(f"least.{c}").alias(f"{c}_a") for c in ("gid", "low", "high")]), "token-hubs"
     )
-    near = (F.col("high_a") * 100 >= F.col("low_b") * percent) & (F.col("high_b") * 100 >= F.col("low_a") * percent)
     met = (
-        a.join(b, "token")
-        .filter((F.col("gid_a") < F.col("gid_b")) & near)
+        hubs.join(_sides(matrix, ["gid", "low", "high"], "b"), "token")
+        .filter((F.col("gid_a") < F.col("gid_b")) & _near("a", "b", percent))
         .groupBy(F.col("gid_a").alias("ga"), F.col("gid_b").alias("gb"))
         .agg(F.count(F.lit(1)).alias("met"))
         .filter(F.col("met") >= LEADING_MATCHES)
         .select("ga", "gb")
     )
     within = groups.groupBy("gid").count().filter("count > 1").select(F.col("gid").alias("ga"), F.col("gid").alias("gb"))
-    return groups, write_shared(met.unionByName(within), "group-pairs")
+    return write_shared(met.unionByName(within), "first-pairs")
+
+
+def further_pairs(
+    rows: DataFrame, groups: DataFrame, linked: DataFrame, opened: DataFrame, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Groups cut by component (rid, n, gid), and all pairs of those that may hold a link still missing.
+
+    ``linked`` (rid, comp) are the classes linked so far, ``opened`` the pairs already opened.
+    Of each token, the groups of the component with most of them need not meet each other.
+    """
+    parts = write_shared(
+        groups.join(linked, "rid", "left").withColumn("part", F.xxhash64("gid", "comp")), "group-parts"
+    )
+    matrix = write_shared(_matrix(rows, parts, "part", "gid", "comp"), "part-matrix")
+    sizes = matrix.filter("comp IS NOT NULL").groupBy("token", "comp").agg(F.count(F.lit(1)).alias("parts"))
+    tops = sizes.groupBy("token").agg(F.max(F.struct("parts", "comp")).alias("top")).filter("top.parts > 1")
+    tops = small(write_shared(tops.select("token", F.col("top.comp").alias("top")), "token-tops"))
+    judged = matrix.join(tops, "token", "left").withColumn(
+        "odd", ~F.coalesce(F.col("comp") == F.col("top"), F.lit(False))
+    )
+    columns = ["part", "gid", "comp", "low", "high", "odd"]
+    a, b = _sides(judged.filter("odd"), columns, "a"), _sides(judged, columns, "b")
+    apart = (F.col("gid_a") != F.col("gid_b")) & ~F.coalesce(F.col("comp_a") == F.col("comp_b"), F.lit(False))
+    # Two odd ones meet twice.
+    once = ~F.col("odd_b") | (F.col("gid_a") < F.col("gid_b"))
+    lower = F.col("gid_a") < F.col("gid_b")
+
+    def sided(column: str, first: Column) -> Column:
+        return F.when(first, F.col(f"{column}_a")).otherwise(F.col(f"{column}_b"))
+
+    met = (
+        a.join(b, "token")
+        .filter(apart & once & _near("a", "b", percent))
+        .groupBy(
+            sided("gid", lower).alias("ga"),
+            sided("gid", ~lower).alias("gb"),
+            sided("part", lower).alias("pa"),
+            sided("part", ~lower).alias("pb"),
+        )
+        .agg(F.count(F.lit(1)).alias("met"))
+        .filter(F.col("met") >= LEADING_MATCHES)
+        .join(opened, ["ga", "gb"], "left_anti")
+    )
+    pairs = met.select(F.col("pa").alias("ga"), F.col("pb").alias("gb"))
+    return parts.select("rid", "n", F.col("part").alias("gid")), write_shared(pairs, "further-pairs")
 
 
 def _open_pair(
@@ -319,6 +389,12 @@ def open_pairs(docs: DataFrame, nodes: DataFrame, groups: DataFrame, pairs: Data
     return rows.repartition("ga", "gb").sortWithinPartitions("ga", "gb").mapInArrow(compare, "u long, v long")
 
 
+def _members(stars: DataFrame) -> DataFrame:
+    """rid and comp of every linked class, from the stars of ``components``."""
+    linked = stars.select(F.col("u").alias("rid"), F.col("v").alias("comp"))
+    return linked.unionByName(linked.select(F.col("comp").alias("rid"), "comp").distinct())
+
+
 def similar_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Every document with its set's fingerprint, and every set with its component.
 
@@ -328,11 +404,13 @@ def similar_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
     rows = write_shared(leading_tokens(docs, k, percent, frequent_tokens(docs, k)), "leading-tokens")
     nodes = rows.filter("n > 0").groupBy(*KEY).agg(F.min("doc_id").alias("doc_id"), F.first("lead").alias("lead"))
     nodes = write_shared(nodes.withColumn("rid", F.monotonically_increasing_id()), "set-classes")
-    groups, pairs = token_groups(nodes, percent)
-    stars = components(open_pairs(docs, nodes, groups, pairs, k, percent))
-    ids = nodes.select("rid", *KEY, "doc_id")
-    linked = stars.select(F.col("u").alias("rid"), F.col("v").alias("comp"))
-    linked = linked.unionByName(linked.select(F.col("comp").alias("rid"), "comp").distinct())
+    tokens, groups = token_groups(nodes, percent)
+    first = first_pairs(tokens, groups, percent)
+    stars = components(open_pairs(docs, nodes, groups, first, k, percent))
+    parts, further = further_pairs(tokens, groups, _members(stars), first, percent)
+    if not further.isEmpty():
+        stars = components(stars.unionByName(open_pairs(docs, nodes, parts, further, k, percent)))
+    ids, linked = nodes.select("rid", *KEY, "doc_id"), _members(stars)
     known = ids.join(linked, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
     least = known.join(linked.select("rid"), "rid", "left_semi").groupBy("comp").agg(F.min("doc_id").alias("least"))
     classes = known.join(least, "comp", "left").select(
