@@ -21,9 +21,9 @@ compared.
   size range, cut by hash into groups of about ``GROUP_ROWS``: no group grows with the data.
 * **Two rounds.** Many near copies of one text make many groups that all meet. So each group is
   first opened with itself and with one hub group per token, a number of pairs that grows as the
-  matrix does. Then groups are cut by the components found, and of each token the groups of its
-  largest component are spared: a pair is opened only if its sides are not of one component. All
-  other pairs that pass are opened, so no link between components is missed.
+  matrix does. Then each group is cut in two, its largest component that reaches into other groups
+  and the rest, and parts of one component are not opened with each other. All other pairs
+  that pass are, so no link between components is missed.
 * **Opening.** Set comparisons run in numpy inside tasks, one pair of groups at a time,
   and give a spanning forest of the links found there instead of all of them. Texts of
   opened groups are read again rather than stored.
@@ -254,14 +254,21 @@ def first_pairs(rows: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
 def further_pairs(
     rows: DataFrame, groups: DataFrame, linked: DataFrame, opened: DataFrame, percent: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Groups cut by component (rid, n, gid), and all pairs of those that may hold a link still missing.
+    """Parts of groups (rid, n, gid), and all pairs of those that may hold a link still missing.
 
     ``linked`` (rid, comp) are the classes linked so far, ``opened`` the pairs already opened.
-    Of each token, the groups of the component with most of them need not meet each other.
+    Of each token, the parts of the component with most of them need not meet each other.
     """
-    parts = write_shared(
-        groups.join(linked, "rid", "left").withColumn("part", F.xxhash64("gid", "comp")), "group-parts"
-    )
+    known = write_shared(groups.join(linked, "rid", "left"), "linked-groups")
+    # Only the largest component of a group is cut off, and only if it lies in several groups.
+    held = known.filter("comp IS NOT NULL").groupBy("gid", "comp").agg(F.count(F.lit(1)).alias("held"))
+    wide = held.groupBy("comp").agg(F.count(F.lit(1)).alias("over")).filter("over > 1").select("comp")
+    largest = held.join(small(write_shared(wide, "wide-components")), "comp", "left_semi")
+    largest = largest.groupBy("gid").agg(F.max(F.struct("held", "comp")).alias("largest"))
+    largest = small(write_shared(largest.select("gid", F.col("largest.comp").alias("cut")), "cut-components"))
+    cut = F.when(F.col("comp") == F.col("cut"), F.col("comp"))
+    parts = known.join(largest, "gid", "left").select("rid", "n", "gid", cut.alias("comp"))
+    parts = write_shared(parts.withColumn("part", F.xxhash64("gid", "comp")), "group-parts")
     matrix = write_shared(_matrix(rows, parts, "part", "gid", "comp"), "part-matrix")
     sizes = matrix.filter("comp IS NOT NULL").groupBy("token", "comp").agg(F.count(F.lit(1)).alias("parts"))
     tops = sizes.groupBy("token").agg(F.max(F.struct("parts", "comp")).alias("top")).filter("top.parts > 1")
